@@ -9,10 +9,10 @@ from pyspark.sql import Column, functions as F
 from tidemark.functions.text import strip
 from tidemark.schema import IMPORT_DATE_FORMAT
 
-# The shapes of an accepted date.
-ISO_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-COMPACT_DAY = r"^[0-9]{8}$"
-SLASH_DAY = r"^[0-9]{1,2}/([0-9]{1,2}| [1-9])/[0-9]{4}$"
+# The shapes of an accepted date.  There is no year 0000.
+ISO_DAY = r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+COMPACT_DAY = r"^(?!0000)[0-9]{8}$"
+SLASH_DAY = r"^[0-9]{1,2}/([0-9]{1,2}| [1-9])/(?!0000)[0-9]{4}$"
 ISO_WEEK = r"^([0-9]{4})(-?)W([0-9]{2})(?:\2([1-7]))?$"
 FILE_DAY = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 

@@ -10,10 +10,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.schema import CHUNK_RECORDS
-from tidemark.session import stage
+from tidemark.session import small_frame, stage
 
 # Rows a single group may hold before its numbering is spread over tasks.
 HOT_ROWS = 5_000_000
@@ -22,6 +23,11 @@ HOT_GROUPS = 1_000_000
 
 _POSITION_BITS = 33
 
+_OFFSETS = T.StructType(
+    [T.StructField("_part", T.LongType()), T.StructField("_before", T.LongType())]
+)
+_OFFSETS_ARROW = pa.schema([("_part", pa.int64()), ("_before", pa.int64())])
+
 
 @dataclass(frozen=True)
 class Numbered:
@@ -44,8 +50,10 @@ def number_rows(df: DataFrame, order: list[str]) -> Numbered:
     sizes = sorted((row["_part"], row["n"]) for row in sizes.collect())
     ends = list(accumulate(n for _, n in sizes))
     total = ends[-1] if ends else 0
-    before = [(p, end - n) for (p, n), end in zip(sizes, ends)]
-    offsets = spark.createDataFrame(before, "_part long, _before long")
+    before = [
+        {"_part": place, "_before": end - n} for (place, n), end in zip(sizes, ends)
+    ]
+    offsets = small_frame(spark, before, _OFFSETS_ARROW, _OFFSETS)
     position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     rows = (
         placed.withColumn("_part", part)

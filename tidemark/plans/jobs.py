@@ -12,6 +12,7 @@ import datetime as dt
 import logging
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.events import payload
@@ -72,8 +73,9 @@ class _State:
 
 
 def _decide(store: Store, state: _State, fraction: float | None):
-    row = store.spark.createDataFrame([vars(state)])
-    return row.select(gate.next_step(F.lit(fraction).cast("double")).alias("s")).first()["s"]
+    row = store.spark.createDataFrame(pa.Table.from_pylist([vars(state)]))
+    step = gate.next_step(F.lit(fraction).cast("double"))
+    return row.select(step.alias("s")).first()["s"]
 
 
 def run_incremental(
@@ -101,7 +103,7 @@ def run_incremental(
         step = "compute_diff"
         landing = extracts.read_landing(store.spark, paths, fmt)
         # One event per file; the listing of the files is on the driver anyway.
-        fetched = landing.files.orderBy("file").toLocalIterator()
+        fetched = landing.files.orderBy("file").collect()
         fetch_events, accepted, total = [], 0, 0
         for row in fetched:
             total += 1

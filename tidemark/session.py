@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local_folders: dict[str, str] = {}
 
@@ -70,3 +72,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_frame(
+    spark: SparkSession, rows: list[dict], columns: pa.Schema, schema: StructType
+) -> DataFrame:
+    """A few driver-made rows as a local relation, without a Python worker."""
+    return spark.createDataFrame(pa.Table.from_pylist(rows, columns), schema)

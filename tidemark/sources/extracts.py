@@ -16,7 +16,8 @@ from __future__ import annotations
 from collections import defaultdict
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.functions.dates import flexible_date
 from tidemark.functions.digest import digest_sum
@@ -25,10 +26,11 @@ from tidemark.operators.records import dedupe
 from tidemark.schema import (
     IMPORT_SEPARATOR,
     KEY,
+    RECORD_SCHEMA,
     REGISTRY_COLUMNS,
     REGISTRY_SEPARATOR,
 )
-from tidemark.session import stage
+from tidemark.session import small_frame, stage
 
 # Reason classes in order of precedence; the numbers are what is staged.
 OK, SKIPPED, HEADER = 0, -1, -2
@@ -38,6 +40,17 @@ MISSING_COLUMNS = "missing_columns"
 # Rejected files whose names may be broadcast; more are joined by shuffle.
 BROADCAST_FILES = 1_000_000
 
+_REJECTS = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("line_no", T.LongType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
+_REJECTS_ARROW = pa.schema(
+    [("file", pa.string()), ("line_no", pa.int64()), ("reason", pa.string())]
+)
+
 _BITS = 15
 _MISSING = (1 << _BITS) - 1
 
@@ -323,26 +336,28 @@ def read_landing(spark: SparkSession, paths: list[str], fmt: Format) -> Landing:
     """
     audited = stage(audit(spark, paths, fmt), "audit")
     layouts: dict[tuple[tuple[int, ...], bool], list[str]] = defaultdict(list)
-    refused: list[tuple[str, int, str]] = []
-    for row in audited.select("file", "layout", "spans_lines").toLocalIterator():
+    refused: list[dict] = []
+    for row in audited.select("file", "layout", "spans_lines").collect():
         if fmt.has_header:
             if missing_columns(row["layout"], fmt):
-                refused.append((row["file"], 1, MISSING_COLUMNS))
+                refused.append(
+                    {"file": row["file"], "line_no": 1, "reason": MISSING_COLUMNS}
+                )
                 continue
             positions = tuple(_unpack(row["layout"], fmt))
         else:
             positions = (0, 1, 2, 3)
         layouts[positions, row["spans_lines"]].append(row["file"])
 
-    schema = "file string, line_no long, reason string"
-    rejects = spark.createDataFrame(refused, schema)
+    rejects = small_frame(spark, refused, _REJECTS_ARROW, _REJECTS)
     parts = [
         (_parse_whole if spans else _parse_lines)(spark, files, list(positions), fmt)
         for (positions, spans), files in sorted(layouts.items())
     ]
     if not parts:
-        empty = spark.createDataFrame([], "id_1 string, id_2 string, "
-                                      "vaccine_group string, vaccination_date date, file string")
+        nothing = F.lit(None)
+        columns = [nothing.cast(f.dataType).alias(f.name) for f in RECORD_SCHEMA]
+        empty = spark.range(0).select(*columns, nothing.cast("string").alias("file"))
         return Landing(empty, rejects, audited.withColumn("accepted", F.lit(False)))
     parsed = parts[0]
     for part in parts[1:]:

@@ -6,11 +6,13 @@ import datetime as dt
 import logging
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.functions.events import check_fields
 from tidemark.schema import EVENT_SCHEMA
+from tidemark.session import small_frame
 
 logger = logging.getLogger(__name__)
 
@@ -19,6 +21,16 @@ _PARTITIONED = T.StructType(
     + [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
 )
 
+_ARROW = pa.schema(
+    [
+        ("run_id", pa.string()),
+        ("seq", pa.int32()),
+        ("type", pa.string()),
+        ("at", pa.timestamp("us")),
+        ("data", pa.map_(pa.string(), pa.string())),
+    ]
+)
+
 
 def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
@@ -48,7 +60,7 @@ def read(
     except AnalysisException as error:
         if not is_missing(error):
             raise
-        return spark.createDataFrame([], EVENT_SCHEMA)
+        return small_frame(spark, [], _ARROW, EVENT_SCHEMA)
     if months is not None:
         wanted = F.lit(False)
         for year, month in months:
@@ -83,11 +95,18 @@ class RunLedger:
             check_fields(event_type, list(data))
             self.seq += 1
             at = self.now().replace(microsecond=0)
-            text = {name: str(value) for name, value in data.items()}
-            rows.append((self.run_id, self.seq, event_type, at, text))
+            rows.append(
+                {
+                    "run_id": self.run_id,
+                    "seq": self.seq,
+                    "type": event_type,
+                    "at": at,
+                    "data": [(name, str(value)) for name, value in data.items()],
+                }
+            )
         try:
-            made = self.spark.createDataFrame(rows, EVENT_SCHEMA).coalesce(1)
-            append(made, self.path)
+            made = small_frame(self.spark, rows, _ARROW, EVENT_SCHEMA)
+            append(made.coalesce(1), self.path)
         except Exception as error:  # noqa: BLE001
             if required:
                 raise

@@ -74,8 +74,8 @@ class Master:
         if have:
             return have
         count = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        made = self.spark.createDataFrame([(count,)], "buckets int").coalesce(1)
-        made.write.mode("ignore").json(f"{self.path}/layout")
+        made = self.spark.range(1).select(F.lit(count).alias("buckets"))
+        made.coalesce(1).write.mode("ignore").json(f"{self.path}/layout")
         return count
 
     def _table(self, buckets: int) -> str:
@@ -94,7 +94,9 @@ class Master:
     def read(self, version: Version) -> DataFrame:
         """The records of a version; the empty version is the empty set."""
         if not version.segments:
-            return self.spark.createDataFrame([], RECORD_SCHEMA)
+            empty = F.lit(None)
+            columns = [empty.cast(f.dataType).alias(f.name) for f in RECORD_SCHEMA]
+            return self.spark.range(0).select(*columns)
         buckets = self.buckets()
         if not buckets:
             raise MasterError("the ledger names a master version but there is no master")
