@@ -369,7 +369,7 @@ def read_landing(spark: SparkSession, paths: list[str], fmt: Format) -> Landing:
     if n_rejected:
         names = rejects.select("file")
         names = F.broadcast(names) if n_rejected <= BROADCAST_FILES else names
-        good = good.join(names, "file", "left_anti")
+        good = good.join(names, "file", "left_anti").select(*KEY, "file")
         files = audited.join(names.withColumn("accepted", F.lit(False)), "file", "left")
         files = files.withColumn("accepted", F.coalesce("accepted", F.lit(True)))
     else:
