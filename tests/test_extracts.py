@@ -174,3 +174,14 @@ def test_missing_names_are_listed_in_order(spark, folder):
     put(folder, "a.csv", "name|vaccination_date|id_2\n")
     layout = extracts.audit(spark, [folder], REGISTRY).first()["layout"]
     assert extracts.missing_columns(layout, REGISTRY) == ["id_1", "vaccine_group_name"]
+
+
+def test_files_with_odd_names_are_found_again(spark, folder):
+    names = ["a b.csv", "c[1].csv", "d{x}.csv", "e%20f.csv", "g,h.csv", "i*j.csv", "k\u00e9.csv",
+             "l#m?.csv", "n+o.csv"]
+    for number, name in enumerate(names):
+        put(folder, name, f"{number},2,Flu,2024-01-05\n")
+    put(folder, "z[9].csv", "1,2,Flu,never\n")
+    landing = extracts.read_landing(spark, [folder], IMPORT)
+    assert {r["id_1"] for r in landing.records.collect()} == {str(i) for i in range(len(names))}
+    assert landing.rejects.count() == 1

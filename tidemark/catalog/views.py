@@ -165,4 +165,4 @@ def file_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def files_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views as files that still lie in the folder."""
     names = file_names(spark, sf_dir).filter(F.col("event_type") == "view")
-    return names.select("file_name").distinct()
+    return names.select("file_name")

@@ -86,11 +86,12 @@ def sequence(
     of ordinary size take a window; larger ones are spread by range.
     """
     hot = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    hot = stage(hot.filter(F.col("_n") > hot_rows).select(*group), "hot")
+    hot = hot.filter(F.col("_n") > hot_rows).select(*group)
     n_hot = hot.count()
     window = Window.partitionBy(*group).orderBy(*order)
     if n_hot == 0:
         return df.withColumn(name, F.row_number().over(window).cast("long"))
+    hot = stage(hot, "hot")
     names = F.broadcast(hot) if n_hot <= HOT_GROUPS else hot
     cold = df.join(names, group, "left_anti").withColumn(
         name, F.row_number().over(window).cast("long")

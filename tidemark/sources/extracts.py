@@ -31,6 +31,7 @@ from tidemark.schema import (
     REGISTRY_SEPARATOR,
 )
 from tidemark.session import small_frame, stage
+from tidemark.sources.files import path_of
 
 # Reason classes in order of precedence; the numbers are what is staged.
 OK, SKIPPED, HEADER = 0, -1, -2
@@ -38,7 +39,7 @@ REASONS = ["arity", "encoding", "date", "id_1", "id_2", "vaccine_group"]
 MISSING_COLUMNS = "missing_columns"
 
 # Rejected files whose names may be broadcast; more are joined by shuffle.
-BROADCAST_FILES = 1_000_000
+BROADCAST_FILES = 100_000
 
 _REJECTS = T.StructType(
     [
@@ -347,7 +348,7 @@ def read_landing(spark: SparkSession, paths: list[str], fmt: Format) -> Landing:
             positions = tuple(_unpack(row["layout"], fmt))
         else:
             positions = (0, 1, 2, 3)
-        layouts[positions, row["spans_lines"]].append(row["file"])
+        layouts[positions, row["spans_lines"]].append(path_of(row["file"]))
 
     rejects = small_frame(spark, refused, _REJECTS_ARROW, _REJECTS)
     parts = [

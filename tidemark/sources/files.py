@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A file above this size gets a digest summed over its lines instead.
 WHOLE_FILE_BYTES = 512 * 1024 * 1024
 
 
+def literal_path(path: str) -> str:
+    """A path pattern that matches this one name, whatever characters it has."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def path_of(file: str) -> str:
+    """The pattern of a file named as the scan names it, which is URI encoded."""
+    return literal_path(unquote(file))
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """Path, size and name; file contents are not read."""
     return (

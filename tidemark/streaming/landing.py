@@ -17,6 +17,7 @@ from tidemark.plans.jobs import run_incremental
 from tidemark.plans.store import Store
 from tidemark.schema import GATE_FRACTION
 from tidemark.sources.extracts import Format
+from tidemark.sources.files import literal_path
 
 # Files one micro-batch takes, which bounds the list of names it hands over.
 FILES_PER_BATCH = 10_000
@@ -49,7 +50,7 @@ def stream_landing(
 
     def take(batch: DataFrame, batch_id: int) -> None:
         named = batch.filter(F.col("length") > 0).select("path")
-        paths = [row["path"] for row in named.collect()]
+        paths = [literal_path(row["path"]) for row in named.collect()]
         if paths:
             run_incremental(store, paths, fmt, as_of, fraction=fraction)
 
