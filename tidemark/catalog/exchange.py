@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.catalog import views
-from tidemark.catalog.files import _glob, _write_extracts
+from tidemark.catalog.files import FILE_RECORDS, _glob, _write_extracts
 from tidemark.catalog.views import DIGEST_SQL, KEYS, RECORDS_SQL
 from tidemark.operators import records
 from tidemark.plans import jobs
@@ -108,7 +108,7 @@ def stream_incremental_diff(spark, sf_dir):
     checkpoint = scratch_path(spark, "stream")
     landing = scratch_path(spark, "landing")
     rows = views.records(spark, sf_dir)
-    part = F.floor(F.col("event_id") / F.lit(2000))
+    part = F.floor(F.col("event_id") / F.lit(FILE_RECORDS))
     halves = [views.before(rows, views.KNOWN_UNTIL), views.since(rows, views.CURRENT_FROM)]
     for number, half in enumerate(halves):
         (

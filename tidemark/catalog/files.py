@@ -17,8 +17,8 @@ from tidemark.sinks import export
 from tidemark.sources import extracts, files
 from tidemark.sources.extracts import IMPORT, REASONS, REGISTRY
 
-# Records of one landing file.
-FILE_RECORDS = 2000
+# Events of all sources that one part of the landing files covers.
+FILE_RECORDS = 5000
 
 
 # --- dates, blanks, arity ----------------------------------------------------

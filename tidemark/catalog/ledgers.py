@@ -294,30 +294,36 @@ def district_customers(spark, sf_dir):
 
 
 def roster_files(spark, sf_dir):
-    """Schools with their roster file, written from their customers' ids."""
+    """Schools with their roster files, written from their customers' ids,
+    1000 to a file; a school without customers has none."""
     path = scratch_path(spark, "rosters")
-    customers = views.table(spark, sf_dir, "customer")
-    lines = customers.filter(F.col("c_nationkey") % 6 != 0).select(
+    customers = views.table(spark, sf_dir, "customer").filter(F.col("c_nationkey") % 6 != 0)
+    numbered = numbering.sequence(
+        customers.select("c_nationkey", "c_custkey"), ["c_nationkey"], ["c_custkey"]
+    )
+    lines = numbered.select(
         F.concat(F.lit("roster-"), F.col("c_nationkey").cast("string")).alias("roster"),
+        (F.floor((F.col("seq") - 1) / F.lit(1000)) + 1).cast("int").alias("part"),
+        "seq",
         F.col("c_custkey").cast("string").alias("value"),
-        "c_custkey",
     )
     (
-        lines.repartition("roster")
-        .sortWithinPartitions("roster", "c_custkey")
-        .select("roster", "value")
-        .write.partitionBy("roster")
+        lines.repartition("roster", "part")
+        .sortWithinPartitions("roster", "part", "seq")
+        .select("roster", "part", "value")
+        .write.partitionBy("roster", "part")
         .text(path, lineSep="\n")
     )
     found = files.file_digests(spark, path).select(
         F.regexp_extract("path", r"/roster=roster-([0-9]+)/", 1).alias("path"),
+        F.regexp_extract("path", r"/part=([0-9]+)/", 1).cast("int").alias("part"),
         "sha256",
         "length",
     )
     schools = dimension.schools(_config(spark, sf_dir))
     key = F.regexp_extract("query_file", r"^rosters/([0-9]+)\.csv$", 1)
     return coverage.with_files(schools, found, key).select(
-        "school_id", "query_file", "sha256", "length"
+        "school_id", "query_file", "part", "sha256", "length"
     )
 
 
@@ -499,12 +505,16 @@ select cast(r_regionkey as varchar) as iddis, lower(r_name) || '.invalid' as s3_
 from region join nation on n_regionkey = r_regionkey
 left join customer on c_nationkey = n_nationkey group by 1, 2""",
     "roster_files": """
-with bodies as (
-  select c_nationkey, string_agg(cast(c_custkey as varchar), chr(10) order by c_custkey)
-         || chr(10) as body
-  from customer where c_nationkey % 6 <> 0 group by c_nationkey)
+with numbered as (
+  select c_nationkey, c_custkey,
+         (row_number() over (partition by c_nationkey order by c_custkey) - 1) // 1000 + 1 as part
+  from customer where c_nationkey % 6 <> 0),
+bodies as (
+  select c_nationkey, cast(part as int) as part,
+         string_agg(cast(c_custkey as varchar), chr(10) order by c_custkey) || chr(10) as body
+  from numbered group by 1, 2)
 select cast(n_nationkey as varchar) as school_id,
-       'rosters/' || n_nationkey || '.csv' as query_file, sha256(body) as sha256,
+       'rosters/' || n_nationkey || '.csv' as query_file, part, sha256(body) as sha256,
        octet_length(encode(body)) as length
 from nation left join bodies on c_nationkey = n_nationkey""",
     "submission_gap": f"""

@@ -351,6 +351,9 @@ def read_landing(spark: SparkSession, paths: list[str], fmt: Format) -> Landing:
         layouts[positions, row["spans_lines"]].append(path_of(row["file"]))
 
     rejects = small_frame(spark, refused, _REJECTS_ARROW, _REJECTS)
+    if len(layouts) == 1 and not refused:
+        # All files alike: read what was asked for, without naming each file.
+        layouts = {key: paths for key in layouts}
     parts = [
         (_parse_whole if spans else _parse_lines)(spark, files, list(positions), fmt)
         for (positions, spans), files in sorted(layouts.items())
