@@ -172,7 +172,7 @@ def test_line_numbers_hold_over_many_splits(spark, folder, seed):
 
 def test_missing_names_are_listed_in_order(spark, folder):
     put(folder, "a.csv", "name|vaccination_date|id_2\n")
-    layout = extracts.audit(spark, [folder], REGISTRY).first()["layout"]
+    layout = extracts.audit(spark.read.text(folder), REGISTRY).first()["layout"]
     assert extracts.missing_columns(layout, REGISTRY) == ["id_1", "vaccine_group_name"]
 
 

@@ -18,7 +18,7 @@ from tidemark.sources import extracts, files
 from tidemark.sources.extracts import IMPORT, REASONS, REGISTRY
 
 # Events of all sources that one part of the landing files covers.
-FILE_RECORDS = 5000
+FILE_RECORDS = 20_000
 
 
 # --- dates, blanks, arity ----------------------------------------------------
@@ -86,7 +86,7 @@ def arity_reject(spark, sf_dir):
                         {"sep": ",", "quote": '"', "escape": '"'})
     )
     fields = [F.col(f"c.c{i}") for i in range(4)]
-    code = extracts.reason_code(F.col("value"), fields, 4, ",")
+    code = extracts.reason_code(F.col("value"), fields, F.lit(4), ",")
     reason = F.when(code > 0, F.element_at(F.lit(REASONS), code))
     return split.select("event_id", F.coalesce(reason, F.lit("")).alias("reason"))
 

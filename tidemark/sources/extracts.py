@@ -2,9 +2,9 @@
 
 Files are read as lines, so a large file is split over tasks.  One scan audits
 every file (size, digest, where its header puts the required columns, whether
-a quote stays open over a line end); the next parses the lines of all files
-that share a column layout.  Only files that do hold records going over a line
-end are read whole by one task each, because nothing can split those.
+a quote stays open over a line end); the next parses the lines, each by the
+layout of its file.  Only files that do hold records going over a line end are
+read whole by one task each, because nothing can split those.
 
 A file is taken entirely or not at all.  Its first bad row is found from two
 numbers per split, its row count and the place of its first bad row, so rows
@@ -82,11 +82,9 @@ class Landing:
 # --- audit -------------------------------------------------------------------
 
 
-def _lines(spark: SparkSession, paths: list[str], keep_empty: bool = True) -> DataFrame:
+def _lines(text: DataFrame, keep_empty: bool = True) -> DataFrame:
     """Lines of text files with file, split and reading order."""
-    lines = spark.read.text(paths)
-    if not keep_empty:
-        lines = lines.filter(F.col("value") != "")
+    lines = text if keep_empty else text.filter(F.col("value") != "")
     return lines.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
@@ -117,6 +115,13 @@ def _header_code(value: Column, fmt: Format) -> Column:
     return code
 
 
+def _pack(positions: list[int]) -> int:
+    code = 0
+    for position in positions:
+        code = (code << _BITS) + position
+    return code
+
+
 def _unpack(code: int | None, fmt: Format) -> list[int]:
     if code is None:
         return [_MISSING] * len(fmt.columns)
@@ -124,16 +129,14 @@ def _unpack(code: int | None, fmt: Format) -> list[int]:
     return [(code >> (_BITS * (count - 1 - i))) & _MISSING for i in range(count)]
 
 
-def audit(spark: SparkSession, paths: list[str], fmt: Format) -> DataFrame:
+def audit(text: DataFrame, fmt: Format) -> DataFrame:
     """One row per file, from one scan folded in a hash aggregate.
 
     Only numbers are kept per file: a line that names a required column packs
     its column positions, and the first line's packing is the file's layout.
     """
-    lines = _lines(spark, paths)
-    none_named = 0
-    for _ in fmt.columns:
-        none_named = (none_named << _BITS) + _MISSING
+    lines = _lines(text)
+    none_named = _pack([_MISSING] * len(fmt.columns))
     code = F.lit(0).cast("long")
     if fmt.has_header:
         names_one = any_of([F.col("value").contains(name) for name in fmt.columns])
@@ -159,6 +162,12 @@ def missing_columns(layout: int | None, fmt: Format) -> list[str]:
     ]
 
 
+def _any_missing(layout: Column, fmt: Format) -> Column:
+    parts = [F.shiftright(layout, _BITS * back) for back in range(len(fmt.columns))]
+    missing = [part.bitwiseAND(F.lit(_MISSING)) == _MISSING for part in parts]
+    return F.coalesce(any_of(missing), F.lit(True))
+
+
 # --- parse -------------------------------------------------------------------
 
 
@@ -168,7 +177,9 @@ def _field_count(value: Column, separator: str) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(separator), F.lit(""))) + 1
 
 
-def reason_code(raw: Column, fields: list[Column], needed: int, separator: str) -> Column:
+def reason_code(
+    raw: Column, fields: list[Column], needed: Column, separator: str
+) -> Column:
     """The first thing wrong with a row, as a number; OK if nothing is."""
     id_1, id_2, group, date = fields
     short = any_of([one.isNull() for one in fields]) & (
@@ -196,20 +207,20 @@ def _csv_options(fmt: Format) -> dict[str, str]:
 
 
 def _parsed(
-    rows: DataFrame, raw: Column, fields: list[Column], positions: list[int], fmt: Format
+    rows: DataFrame,
+    raw: Column,
+    fields: list[Column],
+    picked: list[Column],
+    needed: Column,
+    layout: Column,
+    fmt: Format,
 ) -> DataFrame:
     """Typed record columns and a reason code for rows of split fields."""
-    picked = [fields[position] for position in positions]
-    code = reason_code(raw, picked, max(positions) + 1, fmt.separator)
+    code = reason_code(raw, picked, needed, fmt.separator)
     if fmt.has_header:
         names_all = all_of([raw.contains(name) for name in fmt.columns])
-        packed = 0
-        for position in positions:
-            packed = (packed << _BITS) + position
-        code = F.when(
-            names_all & (F.col("block") == 0) & (_header_code(raw, fmt) == packed),
-            F.lit(HEADER),
-        ).otherwise(code)
+        header = names_all & (F.col("block") == 0) & (_header_code(raw, fmt) == layout)
+        code = F.when(header, F.lit(HEADER)).otherwise(code)
     else:
         # A line without any text is passed over, whatever its separators.
         text = F.translate(raw, fmt.separator + '"', "")
@@ -227,17 +238,38 @@ def _parsed(
     )
 
 
-def _parse_lines(
-    spark: SparkSession, paths: list[str], positions: list[int], fmt: Format
-) -> DataFrame:
+def _schema(width: int) -> str:
+    return ", ".join(f"c{i} string" for i in range(width))
+
+
+def _parse_lines(lines: DataFrame, positions: list[int], fmt: Format) -> DataFrame:
+    """Lines of files that all have one layout."""
     width = max(positions) + 1
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    # A reader of the header format never sees an empty line; one of the other
-    # format counts it.
-    lines = _lines(spark, paths, keep_empty=not fmt.has_header)
-    rows = lines.withColumn("c", F.from_csv("value", schema, _csv_options(fmt)))
+    rows = lines.withColumn("c", F.from_csv("value", _schema(width), _csv_options(fmt)))
     fields = [F.col(f"c.c{i}") for i in range(width)]
-    return _parsed(rows, F.col("value"), fields, positions, fmt)
+    picked = [fields[position] for position in positions]
+    layout = F.lit(_pack(positions)).cast("long")
+    return _parsed(rows, F.col("value"), fields, picked, F.lit(width), layout, fmt)
+
+
+def _parse_mixed(
+    lines: DataFrame, layouts: DataFrame, few: bool, width: int, fmt: Format
+) -> DataFrame:
+    """Lines of files with several layouts, each looked up by file.
+
+    Files that are not among ``layouts`` are left out.
+    """
+    rows = lines.join(F.broadcast(layouts) if few else layouts, "file")
+    rows = rows.withColumn("c", F.from_csv("value", _schema(width), _csv_options(fmt)))
+    fields = [F.col(f"c.c{i}") for i in range(width)]
+    shifts = [_BITS * back for back in reversed(range(len(fmt.columns)))]
+    positions = [
+        F.shiftright("layout", shift).bitwiseAND(F.lit(_MISSING)).cast("int")
+        for shift in shifts
+    ]
+    picked = [F.element_at(F.array(*fields), position + 1) for position in positions]
+    needed = F.greatest(*positions) + 1
+    return _parsed(rows, F.col("value"), fields, picked, needed, F.col("layout"), fmt)
 
 
 def _parse_whole(
@@ -245,10 +277,9 @@ def _parse_whole(
 ) -> DataFrame:
     """Files whose records go on over line ends: one task reads each."""
     width = max(positions) + 1
-    schema = ", ".join(f"c{i} string" for i in range(width)) + ", _raw string"
     rows = (
         spark.read.options(**_csv_options(fmt))
-        .schema(schema)
+        .schema(_schema(width) + ", _raw string")
         .csv(
             paths,
             header=False,
@@ -264,11 +295,12 @@ def _parse_whole(
     )
     # The raw text is only kept for rows with more or fewer fields than the
     # schema; for all others, joined fields say the same.
-    names = [F.col(f"c{i}") for i in range(width)]
-    raw = F.coalesce(F.col("_raw"), F.concat_ws(fmt.separator, *[
-        F.coalesce(name, F.lit("")) for name in names
-    ]))
-    return _parsed(rows, raw, names, positions, fmt)
+    fields = [F.col(f"c{i}") for i in range(width)]
+    joined = F.concat_ws(fmt.separator, *[F.coalesce(one, F.lit("")) for one in fields])
+    raw = F.coalesce(F.col("_raw"), joined)
+    picked = [fields[position] for position in positions]
+    layout = F.lit(_pack(positions)).cast("long")
+    return _parsed(rows, raw, fields, picked, F.lit(width), layout, fmt)
 
 
 # --- quarantine --------------------------------------------------------------
@@ -335,10 +367,14 @@ def read_landing(spark: SparkSession, paths: list[str], fmt: Format) -> Landing:
     The driver holds one row per file, as its own file listing already does;
     rows of files never pass through it.
     """
-    audited = stage(audit(spark, paths, fmt), "audit")
-    layouts: dict[tuple[tuple[int, ...], bool], list[str]] = defaultdict(list)
+    # One listing of the files serves both scans.
+    text = spark.read.text(paths)
+    audited = stage(audit(text, fmt), "audit")
+    by_line: dict[tuple[int, ...], int] = defaultdict(int)
+    whole: dict[tuple[int, ...], list[str]] = defaultdict(list)
     refused: list[dict] = []
     for row in audited.select("file", "layout", "spans_lines").collect():
+        positions = (0, 1, 2, 3)
         if fmt.has_header:
             if missing_columns(row["layout"], fmt):
                 refused.append(
@@ -346,18 +382,34 @@ def read_landing(spark: SparkSession, paths: list[str], fmt: Format) -> Landing:
                 )
                 continue
             positions = tuple(_unpack(row["layout"], fmt))
+        if row["spans_lines"]:
+            whole[positions].append(path_of(row["file"]))
         else:
-            positions = (0, 1, 2, 3)
-        layouts[positions, row["spans_lines"]].append(path_of(row["file"]))
-
+            by_line[positions] += 1
     rejects = small_frame(spark, refused, _REJECTS_ARROW, _REJECTS)
-    if len(layouts) == 1 and not refused:
-        # All files alike: read what was asked for, without naming each file.
-        layouts = {key: paths for key in layouts}
+
+    # A reader of the header format never sees an empty line; one of the other
+    # format counts it.
+    lines = _lines(text, keep_empty=not fmt.has_header)
     parts = [
-        (_parse_whole if spans else _parse_lines)(spark, files, list(positions), fmt)
-        for (positions, spans), files in sorted(layouts.items())
+        _parse_whole(spark, files, list(positions), fmt)
+        for positions, files in sorted(whole.items())
     ]
+    if len(by_line) == 1 and not refused and not whole:
+        parts.append(_parse_lines(lines, list(*by_line), fmt))
+    elif by_line and not fmt.has_header:
+        spanning = audited.filter("spans_lines").select("file")
+        few = sum(map(len, whole.values())) <= BROADCAST_FILES
+        spanning = F.broadcast(spanning) if few else spanning
+        lines = lines.join(spanning, "file", "left_anti")
+        parts.append(_parse_lines(lines, list(*by_line), fmt))
+    elif by_line:
+        width = max(map(max, by_line)) + 1
+        few = sum(by_line.values()) <= BROADCAST_FILES
+        usable = audited.filter(~F.col("spans_lines")).select("file", "layout")
+        if refused:
+            usable = usable.filter(~_any_missing(F.col("layout"), fmt))
+        parts.append(_parse_mixed(lines, usable, few, width, fmt))
     if not parts:
         nothing = F.lit(None)
         columns = [nothing.cast(f.dataType).alias(f.name) for f in RECORD_SCHEMA]
