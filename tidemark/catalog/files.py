@@ -85,8 +85,11 @@ def arity_reject(spark, sf_dir):
         "c", F.from_csv("value", "c0 string, c1 string, c2 string, c3 string",
                         {"sep": ",", "quote": '"', "escape": '"'})
     )
-    fields = [F.col(f"c.c{i}") for i in range(4)]
-    code = extracts.reason_code(F.col("value"), fields, F.lit(4), ",")
+    split = split.select(
+        "event_id", "value", "c.c0", "c.c1", "c.c2", flexible_date(F.col("c.c3")).alias("day")
+    )
+    ids = [F.col("c0"), F.col("c1"), F.col("c2")]
+    code = extracts.reason_code(F.col("value"), ids, F.col("day"), F.lit(4), ",")
     reason = F.when(code > 0, F.element_at(F.lit(REASONS), code))
     return split.select("event_id", F.coalesce(reason, F.lit("")).alias("reason"))
 

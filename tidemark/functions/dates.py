@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
@@ -42,10 +43,16 @@ def flexible_date(column: Column) -> Column:
         F.when(text.rlike(ISO_DAY), F.try_to_date(text, "yyyy-MM-dd"))
         .when(text.rlike(SLASH_DAY), F.try_to_date(slashed, "M/d/yyyy"))
         .when(text.rlike(COMPACT_DAY), F.try_to_date(text, "yyyyMMdd"))
-        .when(text.rlike(ISO_WEEK), _week_day(text))
+        .when(text.rlike(ISO_WEEK), _aside(text, _week_day))
     )
 
 
+def _aside(column: Column, function: Callable[[Column], Column]) -> Column:
+    """A rare branch, kept out of the generated code of the common ones so
+    that their method stays small enough for the JVM to compile."""
+    return F.element_at(F.transform(F.array(column), function), 1)
+
+
 def import_date(column: Column) -> Column:
     return F.date_format(column, IMPORT_DATE_FORMAT)
 

@@ -178,28 +178,20 @@ def _field_count(value: Column, separator: str) -> Column:
 
 
 def reason_code(
-    raw: Column, fields: list[Column], needed: Column, separator: str
+    raw: Column, ids: list[Column], day: Column, needed: Column, separator: str
 ) -> Column:
-    """The first thing wrong with a row, as a number; OK if nothing is."""
-    id_1, id_2, group, date = fields
-    short = any_of([one.isNull() for one in fields]) & (
-        _field_count(raw, separator) < needed
-    )
-    broken = ~F.is_valid_utf8(raw) | any_of(
-        [F.coalesce(one.contains("\ufffd"), F.lit(False)) for one in fields]
-    )
-    checks = [
-        short,
-        broken,
-        flexible_date(date).isNull(),
-        is_blank(id_1),
-        is_blank(id_2),
-        is_blank(group),
-    ]
-    code = F.lit(OK)
-    for number, check in reversed(list(enumerate(checks, start=1))):
-        code = F.when(check, F.lit(number)).otherwise(code)
-    return code
+    """The first thing wrong with a row, as a number; OK if nothing is.
+
+    ``ids`` are the two ids and the group, ``day`` the parsed date.
+    """
+    # A short line lacks its last fields, so only a row with a gap is counted.
+    gap = any_of([one.isNull() for one in ids]) | day.isNull()
+    short = gap & (_field_count(raw, separator) < needed)
+    checks = [short, ~F.is_valid_utf8(raw), day.isNull(), *[is_blank(one) for one in ids]]
+    code = F.when(checks[0], F.lit(1))
+    for number, check in enumerate(checks[1:], start=2):
+        code = code.when(check, F.lit(number))
+    return code.otherwise(F.lit(OK))
 
 
 def _csv_options(fmt: Format) -> dict[str, str]:
@@ -216,26 +208,32 @@ def _parsed(
     fmt: Format,
 ) -> DataFrame:
     """Typed record columns and a reason code for rows of split fields."""
-    code = reason_code(raw, picked, needed, fmt.separator)
-    if fmt.has_header:
-        names_all = all_of([raw.contains(name) for name in fmt.columns])
-        header = names_all & (F.col("block") == 0) & (_header_code(raw, fmt) == layout)
-        code = F.when(header, F.lit(HEADER)).otherwise(code)
-    else:
-        # A line without any text is passed over, whatever its separators.
-        text = F.translate(raw, fmt.separator + '"', "")
-        empty = all_of([is_blank(one) for one in fields]) & is_blank(text)
-        code = F.when(empty, F.lit(SKIPPED)).otherwise(code)
-    return rows.select(
+    # The date is wanted twice; as a column of its own it is parsed once.
+    rows = rows.select(
         "file",
         "block",
         "place",
+        raw.alias("raw"),
+        needed.alias("needed"),
+        layout.alias("layout"),
         picked[0].alias("id_1"),
         picked[1].alias("id_2"),
         picked[2].alias("vaccine_group"),
         flexible_date(picked[3]).alias("vaccination_date"),
-        code.cast("tinyint").alias("code"),
+        all_of([is_blank(one) for one in fields]).alias("blank"),
     )
+    raw, layout, ids = F.col("raw"), F.col("layout"), [F.col(name) for name in KEY[:3]]
+    code = reason_code(raw, ids, F.col("vaccination_date"), F.col("needed"), fmt.separator)
+    if fmt.has_header:
+        names_all = all_of([raw.contains(name) for name in fmt.columns])
+        header = names_all & (F.col("block") == 0) & (_header_code(raw, fmt) == layout)
+        code = F.when(header, F.lit(HEADER)).otherwise(code)
+    else:
+        # A line without any text is passed over, whatever its separators.
+        text = F.translate(raw, fmt.separator + '"', "")
+        empty = F.col("blank") & is_blank(text)
+        code = F.when(empty, F.lit(SKIPPED)).otherwise(code)
+    return rows.select("file", "block", "place", *KEY, code.cast("tinyint").alias("code"))
 
 
 def _schema(width: int) -> str:
