@@ -14,8 +14,8 @@ def config(**changes):
     school = {"name": "Lake High", "id": "1", "classification": "N", "email": "a@b",
               "bulk_query_file": "rosters/1.csv"}
     whole = {
-        "district": {"iddis": "0197"},
-        "api": {"auth_base_url": "u", "aisr_api_base_url": "v", "s3_upload_host": "h"},
+        "district": {"iddis": "0042"},
+        "api": {"auth_base_url": "u", "s3_upload_host": "h"},
         "schools": [school, {**school, "name": "Hill", "id": "2"}],
     }
     return {**whole, **changes}
@@ -32,9 +32,9 @@ def test_schools_and_district_from_configuration(spark, folder):
     path = put(folder, "config.json", json.dumps(config(), indent=2))
     read = dimension.read_config(spark, path)
     got = [tuple(r) for r in dimension.schools(read).orderBy("school_id").collect()]
-    assert got[0] == ("0197", "Lake High", "N", "1", "a@b", "rosters/1.csv")
+    assert got[0] == ("0042", "Lake High", "N", "1", "a@b", "rosters/1.csv")
     assert [r[1] for r in got] == ["Lake High", "Hill"]
-    assert tuple(dimension.district(read).first()) == ("0197", "h")
+    assert tuple(dimension.district(read).first()) == ("0042", "h")
 
 
 def test_a_missing_upload_identity_fails(spark, folder):

@@ -204,8 +204,6 @@ def _config(spark, sf_dir):
         .select(
             F.struct(F.col("r_regionkey").cast("string").alias("iddis")).alias("district"),
             F.struct(
-                F.lit("https://auth.invalid").alias("auth_base_url"),
-                F.lit("https://api.invalid").alias("aisr_api_base_url"),
                 F.concat(F.lower("r_name"), F.lit(".invalid")).alias("s3_upload_host"),
             ).alias("api"),
             "schools",

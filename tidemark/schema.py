@@ -71,6 +71,7 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
+# The fields of a district's configuration that anything here reads.
 CONFIG_SCHEMA = T.StructType(
     [
         T.StructField("district", T.StructType([T.StructField("iddis", T.StringType())])),
@@ -78,8 +79,6 @@ CONFIG_SCHEMA = T.StructType(
             "api",
             T.StructType(
                 [
-                    T.StructField("auth_base_url", T.StringType()),
-                    T.StructField("aisr_api_base_url", T.StringType()),
                     T.StructField("s3_upload_host", T.StringType()),
                 ]
             ),
