@@ -83,3 +83,16 @@ def test_rosters_match_by_path_and_gaps_show(spark):
     assert got == {"1": "d", "2": None}
     sent = spark.createDataFrame([("1",), ("1",)], "school_id string")
     assert [r["school_id"] for r in coverage.not_submitted(schools, sent, ["school_id"]).collect()] == ["2"]
+
+
+def test_a_large_file_is_digested_by_lines(spark, folder, monkeypatch):
+    monkeypatch.setattr(files, "WHOLE_FILE_BYTES", 10)
+    put(folder, "small.csv", "a,b\n")
+    put(folder, "la rge+1.csv", "1,2,Flu,01/05/2024\n3,4,Flu,01/05/2024\n")
+    got = {r["path"].rsplit("/", 1)[-1]: r for r in files.file_digests(spark, folder).collect()}
+    heads = [int(hashlib.sha256(line).hexdigest()[:15], 16)
+             for line in (b"1,2,Flu,01/05/2024", b"3,4,Flu,01/05/2024")]
+    assert got["la rge+1.csv"]["line_digest"] == str(sum(heads))
+    assert got["la rge+1.csv"]["length"] == 38 and got["la rge+1.csv"]["sha256"] is None
+    assert got["small.csv"]["sha256"] == hashlib.sha256(b"a,b\n").hexdigest()
+    assert len(got) == 2

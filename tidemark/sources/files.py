@@ -7,7 +7,9 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# A file above this size gets a digest summed over its lines instead.
+from tidemark.functions.digest import digest_sum
+
+# A file above this size gets a digest summed over its lines.
 WHOLE_FILE_BYTES = 512 * 1024 * 1024
 
 
@@ -48,15 +50,37 @@ def folder_names(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 and size of each file that one task can hold.
+    """Size and digest of every file below a folder.
 
-    The size is filtered in the scan, before any content is read.  Larger
-    files have a line digest in the landing audit.
+    A file that one task can hold has its SHA-256; the size is filtered in the
+    scan, before any content is read.  A larger one is read as lines by many
+    tasks and has the order-free digest of its lines.
     """
-    return (
+    small = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(path)
         .filter(F.col("length") <= WHOLE_FILE_BYTES)
-        .select("path", "length", F.sha2("content", 256).alias("sha256"))
+        .select(
+            "path",
+            "length",
+            F.sha2("content", 256).alias("sha256"),
+            F.lit(None).cast("string").alias("line_digest"),
+        )
+    )
+    # The scan gives URI-encoded names, in which a plus sign is a plus sign.
+    name = F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B")))
+    large = (
+        spark.read.option("recursiveFileLookup", "true")
+        .text(path)
+        .filter(F.col("_metadata.file_size") > WHOLE_FILE_BYTES)
+        .groupBy(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_size").alias("length"),
+        )
+        .agg(digest_sum(F.col("value")).cast("string").alias("line_digest"))
+        .select(
+            name.alias("path"), "length", F.lit(None).cast("string").alias("sha256"), "line_digest"
+        )
     )
+    return small.unionByName(large)
