@@ -7,12 +7,12 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.catalog import views
-from tidemark.catalog.views import ACKS_SQL, DIGEST_SQL, KEYS, RUNS_SQL
+from tidemark.catalog.views import ACKS_SQL, DIGEST_SQL, RUNS_SQL
 from tidemark.functions.dates import month_window, period
 from tidemark.functions.digest import fingerprint
 from tidemark.functions.events import detail, event, payload
 from tidemark.functions.names import event_name
-from tidemark.operators import coverage, numbering, reconcile, records, runs
+from tidemark.operators import coverage, numbering, reconcile, runs
 from tidemark.schema import EVENT_FIELDS, TERMINAL_TYPES
 from tidemark.session import scratch_path
 from tidemark.sources import dimension, files, ledger

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.events import check_fields
 from tidemark.schema import EVENT_SCHEMA
@@ -70,12 +70,6 @@ def read(
     return events.filter(known).select(*EVENT_SCHEMA.fieldNames())
 
 
-def with_sequence(events: DataFrame, run: list[str], order: list[str]) -> DataFrame:
-    """Number the events of runs of known, bounded length."""
-    window = Window.partitionBy(*run).orderBy(*order)
-    return events.withColumn("seq", F.row_number().over(window))
-
-
 @dataclass
 class RunLedger:
     """Writes one run's events in order; the run's own few events only."""
