@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import substrings
+from tidemark.llm import simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +15,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op6_simhash_dedup": op6_simhash_dedup,
 }
 
 SQL: dict[str, str] = {}
