@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import simhash, substrings
+from tidemark.llm import quality, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +19,14 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 SQL: dict[str, str] = {}
