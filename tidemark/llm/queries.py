@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality, simhash, substrings
+from tidemark.llm import decontaminate, quality, sentencepieces, simhash, substrings
+
+#: Where the public vocabulary files lie.
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +26,27 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode(table(spark, sf_dir, "documents"), vocabulary(PIECES))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op5_decontamination": op5_decontamination,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op8_quality_rules": op8_quality_rules,
 }

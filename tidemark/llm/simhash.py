@@ -388,6 +388,9 @@ def keep_one(
     """
     found = near_duplicates(docs, id_col, text_col, shingle, bits)
     gone = (
-        found.where(F.col("component_id") < F.col(id_col)).select(id_col).distinct()
+        found.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
+    )
+    marked = docs.withColumn("_gone", F.col(f"`{id_col}`").cast("long"))
+    return join_rows(marked, gone, ["_gone"], "left_anti").select(
+        *[F.col(f"`{name}`") for name in docs.columns]
     )
-    return join_rows(docs, gone, [id_col], "left_anti")

@@ -176,6 +176,15 @@ def _dealt(width: int):
     return run
 
 
+def kept_words(words: list[bytes], hits: list[int], width: int) -> list[bytes]:
+    """The words that no window starting at ``hits`` covers."""
+    change = np.zeros(len(words) + 1, np.int64)
+    at = np.unique(np.asarray(hits, np.int64))
+    np.add.at(change, at, 1)
+    np.add.at(change, at + width, -1)
+    return [words[i] for i in np.flatnonzero(np.cumsum(change[:-1]) == 0).tolist()]
+
+
 def _apply(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,12 +196,7 @@ def _apply(width: int):
                 words = split(batch.column("_text")[row].as_py())
                 total, hits = len(words), batch.column("hits")[row].as_py()
                 if hits:
-                    change = np.zeros(total + 1, np.int64)
-                    at = np.unique(np.asarray(hits, np.int64))
-                    np.add.at(change, at, 1)
-                    np.add.at(change, at + width, -1)
-                    keep = np.flatnonzero(np.cumsum(change[:-1]) == 0)
-                    words = [words[i] for i in keep.tolist()]
+                    words = kept_words(words, hits, width)
                 kept = b" ".join(words)
                 out["_id"].append(batch.column("_id")[row].as_py())
                 out["_row"].append(batch.column("_row")[row].as_py())
@@ -311,3 +315,43 @@ def remove_repeats(
         .withColumnRenamed("_id", id_col)
         .drop("_row")
     )
+
+
+def cut_repeats(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = WIDTH,
+    seed: int = SEED_WORDS,
+    bucket_strings: int = BUCKET_STRINGS,
+) -> DataFrame:
+    """``docs`` with the words that :func:`remove_repeats` removes taken from ``text_col``.
+
+    A text that loses nothing stays as it is, white space included; one that
+    loses words has the others joined by single spaces; a row that loses all
+    its words goes.
+    """
+    rows = keyed(docs, id_col, text_col).withColumn("_id", F.col("_id").cast("long"))
+    hits = window_hits(rows.where("_id is not null"), width, seed, bucket_strings)
+    names = docs.columns
+    keys = {"_cut_id": F.col(f"`{id_col}`").cast("long"), "_cut_row": F.xxhash64(f"`{text_col}`")}
+    hits = hits.withColumnsRenamed({"_id": "_cut_id", "_row": "_cut_row", "hits": "_cut_hits"})
+    marked = join_rows(docs.withColumns(keys), hits, ["_cut_id", "_cut_row"], "left")
+    marked = marked.select(*[F.col(f"`{name}`") for name in names], "_cut_hits")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = names.index(text_col)
+        for batch in batches:
+            texts, keep = [], []
+            starts = batch.column(len(names))
+            for row, text in enumerate(batch.column(place)):
+                text, hit = text.as_py(), starts[row].as_py()
+                if hit:
+                    text = b" ".join(kept_words(split(text.encode()), hit, width)).decode()
+                texts.append(text)
+                keep.append(not hit or bool(text))
+            columns = [batch.column(i) for i in range(len(names))]
+            columns[place] = pa.array(texts, columns[place].type)
+            yield pa.RecordBatch.from_arrays(columns, names=list(names)).filter(pa.array(keep))
+
+    return marked.mapInArrow(run, docs.schema)
