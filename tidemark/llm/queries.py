@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, quality, sentencepieces, simhash, substrings
+from tidemark.llm import decontaminate, quality, sentencepieces, simhash, substrings, tokenfiles
 
 #: Where the public vocabulary files lie.
 PIECES = "piece_bpe_32k.model"
+BYTE_PAIRS = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,12 +44,18 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return tokenfiles.digests(spark, tokenfiles.write(docs, vocabulary(BYTE_PAIRS)))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op5_decontamination": op5_decontamination,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op10_token_output": op10_token_output,
 }
 
 SQL: dict[str, str] = {}
