@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, quality, sentencepieces, simhash, substrings, tokenfiles
+from tidemark.llm import decontaminate, quality, scoring, sentencepieces, simhash, substrings, tokenfiles
 
 #: Where the public vocabulary files lie.
 PIECES = "piece_bpe_32k.model"
@@ -34,6 +34,10 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(table(spark, sf_dir, "documents"), vocabulary(PIECES))
 
@@ -51,6 +55,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_sentencepiece": op3_sentencepiece,
     "op5_decontamination": op5_decontamination,
     "op6_simhash_dedup": op6_simhash_dedup,
