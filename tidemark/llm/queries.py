@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, quality, scoring, sentencepieces, simhash, substrings, tokenfiles
+from tidemark.llm import (
+    decontaminate,
+    language,
+    quality,
+    scoring,
+    sentencepieces,
+    simhash,
+    substrings,
+    tokenfiles,
+)
 
 #: Where the public vocabulary files lie.
 PIECES = "piece_bpe_32k.model"
@@ -23,6 +32,10 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -59,6 +72,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op5_decontamination": op5_decontamination,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op10_token_output": op10_token_output,
 }
