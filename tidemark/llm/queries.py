@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     decontaminate,
     language,
+    licences,
     quality,
     scoring,
     sentencepieces,
@@ -61,6 +62,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return tokenfiles.digests(spark, tokenfiles.write(docs, vocabulary(BYTE_PAIRS)))
@@ -74,6 +79,7 @@ QUERIES = {
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
+    "op9_license_scan": op9_license_scan,
     "op10_token_output": op10_token_output,
 }
 
