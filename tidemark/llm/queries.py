@@ -8,6 +8,7 @@ from tidemark.llm import (
     decontaminate,
     language,
     licences,
+    pages,
     quality,
     scoring,
     sentencepieces,
@@ -56,6 +57,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(table(spark, sf_dir, "documents"), vocabulary(PIECES))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -75,6 +80,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_html_extraction": op4_html_extraction,
     "op5_decontamination": op5_decontamination,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_language_id": op7_language_id,
