@@ -22,7 +22,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.frames import join_rows
+from tidemark.llm.frames import join_rows, without
 from tidemark.llm.quality import WORD_GAP
 from tidemark.session import stage
 
@@ -309,8 +309,4 @@ def keep_clean(
 ) -> DataFrame:
     """The rows of ``docs`` that leak no item, with all their columns."""
     found = matches(docs, benchmark, id_col, text_col, item_col, item_text_col)
-    gone = found.select(F.col("text_hash").alias("_leak")).distinct()
-    marked = docs.withColumn("_leak", F.xxhash64(F.col(f"`{text_col}`")))
-    return join_rows(marked, gone, ["_leak"], "left_anti").select(
-        *[F.col(f"`{name}`") for name in docs.columns]
-    )
+    return without(docs, found.select("text_hash"), [F.xxhash64(F.col(f"`{text_col}`"))])

@@ -6,7 +6,6 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
 
 from tidemark.session import stage
 
@@ -30,10 +29,20 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     )
 
 
-def arrow_schema(schema: StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has such a column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
-    return to_arrow_schema(schema)
+
+def without(docs: DataFrame, gone: DataFrame, keys: list[Column]) -> DataFrame:
+    """The rows of ``docs`` whose ``keys`` aren't a row of ``gone``; columns as they were."""
+    names = [unused(docs, f"_key{i}") for i in range(len(keys))]
+    marked = docs.withColumns(dict(zip(names, keys)))
+    kept = join_rows(marked, gone.toDF(*names).distinct(), names, "left_anti")
+    return kept.select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
 def join_rows(large: DataFrame, small: DataFrame, on: list[str], how: str) -> DataFrame:

@@ -65,6 +65,8 @@ DROPPED_NAMES = frozenset(
     "promotion recommended related reply replies respond share sharing sidebar sidebars signup "
     "skyscraper social sponsor sponsored sponsors subscribe subscription toolbar widget widgets".split()
 )
+#: The same outside an article, whose own header is part of it.
+PAGE_HEADERS = frozenset("header headers topbar topnav logo".split())
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
@@ -101,7 +103,12 @@ class Element:
             return True
         if self.name == "header" and not in_article:
             return True
-        return bool(self.label) and not DROPPED_NAMES.isdisjoint(_WORD.findall(self.label))
+        if not self.label:
+            return False
+        words = _WORD.findall(self.label)
+        return not DROPPED_NAMES.isdisjoint(words) or (
+            not in_article and not PAGE_HEADERS.isdisjoint(words)
+        )
 
 
 def parse(html: str) -> Element:

@@ -19,7 +19,7 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.frames import join_rows
+from tidemark.llm.frames import join_rows, without
 from tidemark.session import stage
 
 #: White space between words, the counted symbols, the base rules.
@@ -316,15 +316,6 @@ def keep_good(
     source_col: str = "source",
 ) -> DataFrame:
     """The rows that :func:`judge` keeps, with all their columns."""
-    gone = (
-        judge(docs, id_col, text_col, lang_col, source_col)
-        .where("not kept")
-        .select(F.xxhash64(id_col).alias("_gone_id"), F.col("text_hash").alias("_gone_text"))
-        .distinct()
-    )
-    marked = docs.withColumns(
-        {"_gone_id": F.xxhash64(f"`{id_col}`"), "_gone_text": F.xxhash64(f"`{text_col}`")}
-    )
-    return join_rows(marked, gone, ["_gone_id", "_gone_text"], "left_anti").select(
-        *[F.col(f"`{name}`") for name in docs.columns]
-    )
+    judged = judge(docs, id_col, text_col, lang_col, source_col)
+    gone = judged.where("not kept").select(F.xxhash64(id_col).alias("id_hash"), "text_hash")
+    return without(docs, gone, [F.xxhash64(f"`{id_col}`"), F.xxhash64(f"`{text_col}`")])

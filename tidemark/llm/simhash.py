@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.frames import join_rows, keyed
+from tidemark.llm.frames import keyed, without
 from tidemark.session import stage
 
 SHINGLE_WORDS = 3
@@ -387,10 +387,5 @@ def keep_one(
     Rows that repeat an id stay or go together; rows with a null id stay.
     """
     found = near_duplicates(docs, id_col, text_col, shingle, bits)
-    gone = (
-        found.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    )
-    marked = docs.withColumn("_gone", F.col(f"`{id_col}`").cast("long"))
-    return join_rows(marked, gone, ["_gone"], "left_anti").select(
-        *[F.col(f"`{name}`") for name in docs.columns]
-    )
+    gone = found.where(F.col("component_id") < F.col(id_col)).select(id_col)
+    return without(docs, gone, [F.col(f"`{id_col}`").cast("long")])

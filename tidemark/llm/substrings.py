@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.frames import in_order_runs, join_rows, keyed
+from tidemark.llm.frames import in_order_runs, join_rows, keyed, unused
 from tidemark.llm.words import hashes, runs_of, sliding_min, split
 from tidemark.session import stage
 
@@ -334,10 +334,11 @@ def cut_repeats(
     rows = keyed(docs, id_col, text_col).withColumn("_id", F.col("_id").cast("long"))
     hits = window_hits(rows.where("_id is not null"), width, seed, bucket_strings)
     names = docs.columns
-    keys = {"_cut_id": F.col(f"`{id_col}`").cast("long"), "_cut_row": F.xxhash64(f"`{text_col}`")}
-    hits = hits.withColumnsRenamed({"_id": "_cut_id", "_row": "_cut_row", "hits": "_cut_hits"})
-    marked = join_rows(docs.withColumns(keys), hits, ["_cut_id", "_cut_row"], "left")
-    marked = marked.select(*[F.col(f"`{name}`") for name in names], "_cut_hits")
+    own, row, starts_ = (unused(docs, name) for name in ("_key0", "_key1", "_hits"))
+    keys = {own: F.col(f"`{id_col}`").cast("long"), row: F.xxhash64(f"`{text_col}`")}
+    hits = hits.withColumnsRenamed({"_id": own, "_row": row, "hits": starts_})
+    marked = join_rows(docs.withColumns(keys), hits, [own, row], "left")
+    marked = marked.select(*[F.col(f"`{name}`") for name in [*names, starts_]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = names.index(text_col)
