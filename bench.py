@@ -19,24 +19,12 @@ from tidemark.session import build_session  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
-# Whole jobs whose operators the other queries time already.
-LEFT_OUT = {
-    "strict_file_survivors",
-    "landing_audit",
-    "incremental_replay",
-    "gate_blocks_run",
-    "compacted_master",
-    "latest_listing",
-    "readiness_counts",
-}
-
-
 def main() -> None:
     spark = build_session("bench", f"local[{CPUS}]", int(CPUS) if CPUS.isdigit() else 8)
     spark.sparkContext.setLogLevel("ERROR")
-    queries = {n: q for n, q in catalog.queries().items() if n not in LEFT_OUT}
+    queries = catalog.queries()
     named = sys.argv[1:] or list(queries)
-    warm = catalog.queries()["new_records_per_source"]
+    warm = queries["new_records_per_source"]
     warm(spark, SF_DIR).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in named:

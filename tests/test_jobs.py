@@ -13,7 +13,7 @@ from tidemark.schema import KEY
 from tidemark.sinks import export
 from tidemark.sources import extracts
 from tidemark.sources.extracts import IMPORT, REGISTRY
-from tidemark.sources.master import MasterError, committed, describe
+from tidemark.sources.master import MasterError, commit_event, committed, describe
 from tidemark.streaming.landing import stream_landing
 
 DAY = dt.date(2024, 2, 1)
@@ -165,6 +165,18 @@ def test_all_files_bad_is_a_failure(store, folder):
     assert (out.status, out.error) == ("failed", "AllDownloadsFailed")
 
 
+def test_empty_and_absent_files_are_no_success(store, folder):
+    empty = land(folder, "e.csv", [])
+    open(empty, "w").close()
+    out = jobs.run_incremental(store, [empty], REGISTRY, DAY)
+    assert (out.status, out.error, out.fetch_failures) == ("failed", "AllDownloadsFailed", 1)
+    out = jobs.run_incremental(store, [f"{folder}/nowhere/*"], REGISTRY, DAY, expected_sources=2)
+    assert (out.status, out.error, out.fetch_failures) == ("failed", "NoResultsStaged", 2)
+    good = land(folder, "a.csv", range(10))
+    out = jobs.run_incremental(store, [good, empty], REGISTRY, DAY)
+    assert (out.status, out.files_transformed, out.fetch_failures) == ("success", 1, 1)
+
+
 def test_a_source_that_was_away_is_not_delivered_again(store, folder):
     a, b = land(folder, "a.csv", range(10)), land(folder, "b.csv", range(10, 20), "S2")
     jobs.run_incremental(store, [a, b], REGISTRY, DAY)
@@ -233,6 +245,57 @@ def test_reconciliation_confirms_files_that_are_gone(store, folder):
     assert types(store).count("ImportConfirmed") == 1
 
 
+def test_two_deliveries_of_one_day_are_told_apart(store, folder):
+    out = [jobs.run_incremental(store, [land(folder, f"{i}.csv", range(10 * i, 10 * i + 5))], REGISTRY, DAY)
+           for i in range(3)]
+    shutil.rmtree(out[0].delivered_path)
+    # A backfill's day is not the ledger's clock.
+    status = jobs.run_reconciliation(store, dt.date(2023, 5, 1)).collect()
+    assert sorted(r["status"] for r in status) == ["awaiting", "awaiting", "imported"]
+    last = jobs.run_reconciliation(store, DAY + dt.timedelta(days=9)).collect()
+    assert [r["status"] for r in last] == ["overdue", "overdue"]
+
+
+def test_of_two_commits_on_one_version_the_first_counts(store, folder, frame):
+    jobs.run_incremental(store, [land(folder, "a.csv", range(20))], REGISTRY, DAY)
+    base = store.version()
+    for run, part in (("one", range(20, 30)), ("two", range(25, 35))):
+        rows = frame([(str(i), "S1", "Flu", "2024-01-05") for i in part])
+        segment, count, digest = describe(rows)
+        store.master.write_segment(rows, segment)
+        event = commit_event(base, base.plus(segment, count, digest), segment)
+        store.run_ledger(run).append(event, required=True)
+    assert ids(store.known()) == set(range(30)) and store.version().records == 30
+    again = jobs.run_incremental(store, [land(folder, "b.csv", range(25, 35))], REGISTRY, DAY)
+    assert again.new_count == 5 and ids(store.known()) == set(range(35))
+    jobs.compact(store)
+    assert len(store.version().segments) == 1 and ids(store.known()) == set(range(35))
+
+
+def test_a_rerun_of_a_rebaseline_writes_nothing(store, folder):
+    jobs.run_incremental(store, [land(folder, "a.csv", range(25))], REGISTRY, DAY)
+    first = jobs.run_rebaseline(store, DAY, size=10)
+    again = jobs.run_rebaseline(store, DAY, size=10)
+    assert (first.status, again.status) == ("success", "skipped")
+    assert again.delivered_path == first.delivered_path
+    assert types(store).count("Delivered") == 4
+
+
+def test_a_landing_the_gate_stops_comes_again(store, folder):
+    def go(fraction):
+        stream_landing(store, f"{folder}/landing", f"{folder}/checkpoint", REGISTRY, DAY,
+                       fraction=fraction).awaitTermination()
+
+    land(folder, "a.csv", range(100))
+    go(0.2)
+    land(folder, "b.csv", range(100, 300))
+    with pytest.raises(Exception, match="SuspiciousDiffVolume"):
+        go(0.2)
+    assert ids(store.known()) == set(range(100))
+    go(None)
+    assert ids(store.known()) == set(range(300))
+
+
 def test_a_listing_that_fails_stops_nothing(store, folder, monkeypatch):
     jobs.run_incremental(store, [land(folder, "a.csv", range(5))], REGISTRY, DAY)
 

@@ -68,7 +68,7 @@ def test_files_digest_and_listing(spark, folder):
     body = "a,b\nc\n"
     put(folder, "one.csv", body)
     put(folder, "empty.csv", "")
-    row = files.file_digests(spark, folder).filter(F.col("length") > 0).first()
+    row = files.file_sha256(spark, folder).filter(F.col("length") > 0).first()
     assert row["sha256"] == hashlib.sha256(body.encode()).hexdigest()
     assert row["length"] == len(body)
     listed = files.list_files(spark, folder)
@@ -85,14 +85,16 @@ def test_rosters_match_by_path_and_gaps_show(spark):
     assert [r["school_id"] for r in coverage.not_submitted(schools, sent, ["school_id"]).collect()] == ["2"]
 
 
-def test_a_large_file_is_digested_by_lines(spark, folder, monkeypatch):
-    monkeypatch.setattr(files, "WHOLE_FILE_BYTES", 10)
+def test_files_of_all_sizes_have_one_digest(spark, folder, monkeypatch):
     put(folder, "small.csv", "a,b\n")
     put(folder, "la rge+1.csv", "1,2,Flu,01/05/2024\n3,4,Flu,01/05/2024\n")
+    put(folder, "none.csv", "")
     got = {r["path"].rsplit("/", 1)[-1]: r for r in files.file_digests(spark, folder).collect()}
-    heads = [int(hashlib.sha256(line).hexdigest()[:15], 16)
-             for line in (b"1,2,Flu,01/05/2024", b"3,4,Flu,01/05/2024")]
-    assert got["la rge+1.csv"]["line_digest"] == str(sum(heads))
-    assert got["la rge+1.csv"]["length"] == 38 and got["la rge+1.csv"]["sha256"] is None
-    assert got["small.csv"]["sha256"] == hashlib.sha256(b"a,b\n").hexdigest()
-    assert len(got) == 2
+    head = lambda line: int(hashlib.sha256(line).hexdigest()[:15], 16)
+    large = head(b"1,2,Flu,01/05/2024") + head(b"3,4,Flu,01/05/2024")
+    assert {n: (r["length"], r["line_digest"]) for n, r in got.items()} == {
+        "la rge+1.csv": (38, str(large)), "small.csv": (4, str(head(b"a,b")))}
+    assert files.count_files(spark, [folder]) == 3
+    monkeypatch.setattr(files, "WHOLE_FILE_BYTES", 10)
+    with pytest.raises(Exception, match="too large for one task"):
+        files.file_sha256(spark, folder).collect()

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.catalog import views
 from tidemark.catalog.files import FILE_RECORDS, _glob, _write_extracts
 from tidemark.catalog.views import DIGEST_SQL, KEYS, RECORDS_SQL
+from tidemark.functions.digest import fingerprint
 from tidemark.operators import records
 from tidemark.plans import jobs
 from tidemark.plans.store import Store
@@ -16,7 +18,7 @@ from tidemark.schema import KEY
 from tidemark.session import scratch_path, stage
 from tidemark.sources import extracts
 from tidemark.sources.extracts import IMPORT, REGISTRY
-from tidemark.sources.master import describe
+from tidemark.sources.master import commit_event, describe
 from tidemark.streaming.first_seen import first_seen_stream
 from tidemark.streaming.landing import stream_landing
 
@@ -74,17 +76,77 @@ def master_commit_replay(spark, sf_dir):
     for part in [known, new, new]:
         segment, count, digest = describe(part)
         store.master.write_segment(part, segment)
-        version = version.plus(segment, count, digest)
-        data = {
-            "master_hash": version.name,
-            "record_count": version.records,
-            "snapshot_path": segment,
-        }
-        store.run_ledger("commit").append(("MasterCommitted", data), required=True)
-    printed = F.lit(str(store.version().digest))
-    return store.known().agg(F.count(F.lit(1)).alias("records")).withColumn(
-        "fingerprint", printed
-    )
+        after = version.plus(segment, count, digest)
+        made = commit_event(version, after, segment)
+        store.run_ledger("commit").append(made, required=True)
+        version = after
+    read = fingerprint(store.known())
+    return read.withColumn("fingerprint", F.col("fingerprint").cast("string"))
+
+
+def rival_commits(spark, sf_dir):
+    """Two writers commit overlapping sets on one version; the loser comes again.
+
+    The union is in the master once, by the records read and by their count."""
+    known, current = views.known_and_current(spark, sf_dir)
+    store = Store(spark, scratch_path(spark, "store"))
+    base = store.version()
+    for run, part in (("first", known), ("second", current)):
+        part = stage(part, run)
+        segment, count, digest = describe(part)
+        store.master.write_segment(part, segment)
+        made = commit_event(base, base.plus(segment, count, digest), segment)
+        store.run_ledger(run).append(made, required=True)
+    landing = _land(spark, sf_dir, views.since(views.records(spark, sf_dir), views.CURRENT_FROM))
+    jobs.run_incremental(store, _glob(landing), REGISTRY, views.AS_OF, fraction=None)
+    return store.known()
+
+
+def _remove(spark, path):
+    """Deletes a folder wherever it is stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def reconciliation_job(spark, sf_dir):
+    """Three diffs of one day, the first imported since; a backfill's day asks.
+
+    Each delivery's records and status."""
+    store = Store(spark, scratch_path(spark, "store"))
+    rows = views.records(spark, sf_dir)
+    paths = []
+    for until in ("2024-01-10", "2024-01-20", "2024-02-01"):
+        landing = _land(spark, sf_dir, views.before(rows, until))
+        done = jobs.run_incremental(store, _glob(landing), REGISTRY, views.AS_OF, fraction=None)
+        paths.append(done.delivered_path)
+    _remove(spark, paths[0])
+    status = jobs.run_reconciliation(store, dt.date(2024, 3, 31))
+    records_of = F.substring_index("remote_id", "-", 1).cast("long")
+    return status.select(records_of.alias("records"), "status")
+
+
+def stream_blocked_then_released(spark, sf_dir):
+    """A landing the gate stops is taken whole once the gate is off."""
+    store = Store(spark, scratch_path(spark, "store"))
+    rows = views.records(spark, sf_dir)
+    checkpoint = scratch_path(spark, "stream")
+    landing = scratch_path(spark, "landing")
+    for number, (part, fraction) in enumerate(
+        [(views.before(rows, "2024-01-04"), 0.2), (rows, 0.2), (None, None)]
+    ):
+        if part is not None:
+            part.select(
+                "id_1", "id_2", F.col("vaccine_group").alias("vaccine_group_name"), "vaccination_date"
+            ).write.option("header", "true").option("sep", "|").csv(f"{landing}/day={number}")
+        query = stream_landing(
+            store, f"{landing}/*", checkpoint, REGISTRY, views.AS_OF, fraction=fraction
+        )
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if fraction is None:
+                raise
+    return store.known()
 
 
 def rebaseline_export(spark, sf_dir):
@@ -138,9 +200,7 @@ def stream_first_seen(spark, sf_dir):
     """Distinct records of the events read as a stream."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     stream = (
-        spark.readStream.schema(events.schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
+        spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")
     )
     rows = stream.select(
         F.format_string("%05d", "user_id").alias("id_1"),
@@ -167,9 +227,12 @@ QUERIES = {
     "incremental_replay": incremental_replay,
     "gate_blocks_run": gate_blocks_run,
     "master_commit_replay": master_commit_replay,
+    "rival_commits": rival_commits,
+    "reconciliation_job": reconciliation_job,
     "rebaseline_export": rebaseline_export,
     "compacted_master": compacted_master,
     "stream_incremental_diff": stream_incremental_diff,
+    "stream_blocked_then_released": stream_blocked_then_released,
     "stream_first_seen": stream_first_seen,
 }
 
@@ -183,8 +246,17 @@ SQL = {
 select distinct {KEYS} from ({RECORDS_SQL}) where ts < timestamp '2024-01-08'""",
     "master_commit_replay": f"""{_SETS}, master as (select * from known union select * from new)
 select count(*) as records, cast(sum({DIGEST_SQL}) as varchar) as fingerprint from master""",
+    "rival_commits": _ALL,
+    "reconciliation_job": f"""
+with firsts as (
+  select min(case when ts < timestamp '2024-01-10' then 1
+                  when ts < timestamp '2024-01-20' then 2 else 3 end) as part
+  from ({RECORDS_SQL}) where ts < timestamp '2024-02-01' group by {KEYS})
+select count(*) as records, case part when 1 then 'imported' else 'overdue' end as status
+from firsts group by part""",
     "rebaseline_export": _ALL,
     "compacted_master": _ALL,
     "stream_incremental_diff": _ALL,
+    "stream_blocked_then_released": f"select distinct {KEYS} from ({RECORDS_SQL})",
     "stream_first_seen": f"select distinct {KEYS} from ({RECORDS_SQL})",
 }

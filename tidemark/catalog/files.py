@@ -233,7 +233,7 @@ def file_digest(spark, sf_dir):
         .write.partitionBy("source", "chunk")
         .text(path, lineSep="\n")
     )
-    return files.file_digests(spark, path).select(
+    return files.file_sha256(spark, path).select(
         F.regexp_extract("path", r"/source=([^/]+)/", 1).alias("source"),
         F.regexp_extract("path", r"/chunk=([0-9]+)/", 1).cast("int").alias("chunk"),
         "sha256",

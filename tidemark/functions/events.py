@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tidemark.schema import EVENT_FIELDS
+from tidemark.schema import EVENT_FIELDS, MORE_FIELDS
 
 
 def check_fields(event_type: str, names: list[str]) -> None:
     expected = EVENT_FIELDS[event_type]
-    if expected is not None and sorted(expected) != sorted(names):
+    if expected is None:
+        return
+    more = set(names) - set(expected)
+    if not set(expected) <= set(names) or not more <= set(MORE_FIELDS.get(event_type, [])):
         raise ValueError(f"{event_type} carries {expected}, not {names}")
 
 

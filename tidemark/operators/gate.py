@@ -7,7 +7,24 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 from tidemark.functions.events import event
-from tidemark.schema import GATE_FLOOR
+from tidemark.schema import (
+    ACTION_COMMIT,
+    ACTION_COMPUTE,
+    ACTION_DELIVER,
+    ACTION_FINISH,
+    ACTION_SUBMIT,
+    ACTION_WAIT,
+    ALL_FAILED,
+    BLOCKED,
+    FAILED,
+    GATE_FLOOR,
+    NOTHING_STAGED,
+    SKIPPED,
+    STEP_FETCH,
+    STEP_GATE,
+    SUCCESS,
+    TOO_LARGE,
+)
 
 
 def gate_limit(known: Column, fraction: Column) -> Column:
@@ -48,30 +65,30 @@ def next_step(fraction: Column) -> Column:
     """
     c = F.col
     rules = [
-        (~c("query_submitted"), _outcome("submit_queries")),
+        (~c("query_submitted"), _outcome(ACTION_SUBMIT)),
         (
             (c("staged") < c("school_count")) & ~c("staging_deadline_passed"),
-            _outcome("awaiting_results"),
+            _outcome(ACTION_WAIT),
         ),
         (
             c("staged") == 0,
-            _outcome("finish", "failed", "awaiting_results", "NoResultsStaged"),
+            _outcome(ACTION_FINISH, FAILED, ACTION_WAIT, NOTHING_STAGED),
         ),
-        (~c("has_diff"), _outcome("compute_diff")),
+        (~c("has_diff"), _outcome(ACTION_COMPUTE)),
         (
             (c("files_transformed") == 0) & (c("fetch_failures") > 0),
-            _outcome("finish", "failed", "fetch", "AllDownloadsFailed"),
+            _outcome(ACTION_FINISH, FAILED, STEP_FETCH, ALL_FAILED),
         ),
-        (c("new_count") == 0, _outcome("finish", "success")),
+        (c("new_count") == 0, _outcome(ACTION_FINISH, SUCCESS)),
         (
             suspicious(c("new_count"), c("known_count"), fraction),
-            _outcome("finish", "blocked", "diff_sanity", "SuspiciousDiffVolume"),
+            _outcome(ACTION_FINISH, BLOCKED, STEP_GATE, TOO_LARGE),
         ),
-        (~c("delivered"), _outcome("deliver_diff")),
-        (~c("master_committed"), _outcome("commit_master")),
-        (c("delivered_elsewhere"), _outcome("finish", "skipped")),
+        (~c("delivered"), _outcome(ACTION_DELIVER)),
+        (~c("master_committed"), _outcome(ACTION_COMMIT)),
+        (c("delivered_elsewhere"), _outcome(ACTION_FINISH, SKIPPED)),
     ]
-    otherwise = _outcome("finish", "success")
+    otherwise = _outcome(ACTION_FINISH, SUCCESS)
     return reduce(
         lambda rest, rule: F.when(rule[0], rule[1]).otherwise(rest),
         reversed(rules),
@@ -84,9 +101,9 @@ def terminal_event(
 ) -> Column:
     """The one event that closes a run with this status."""
     return (
-        F.when(status == "success", event("RunCompleted", **totals))
-        .when(status == "skipped", event("RunSkipped", reason=reason))
-        .when(status.isin("blocked", "failed"), event("RunFailed", step=step, error=error))
+        F.when(status == SUCCESS, event("RunCompleted", **totals))
+        .when(status == SKIPPED, event("RunSkipped", reason=reason))
+        .when(status.isin(BLOCKED, FAILED), event("RunFailed", step=step, error=error))
     )
 
 

@@ -1,8 +1,10 @@
 """Delivered files against confirmations and what still lies in the folder.
 
-A file that was delivered and is gone from the folder has been imported.  The
-three inputs are tagged and folded per file name in one aggregate, so copies
-of a name collapse before the only shuffle.
+A file that was delivered and is gone from the folder has been imported.  A
+delivery is known by its file name and by its remote id, which names its
+content: two diffs of one day share a name and nothing else.  The three inputs
+are tagged and folded per delivery in one aggregate, so copies collapse before
+the only shuffle.
 """
 
 from __future__ import annotations
@@ -14,12 +16,16 @@ from tidemark.functions.events import event
 from tidemark.schema import CONFIRMED_HOW, DELIVERY_TARGET, REMINDER_DAYS
 
 
+DELIVERY = ["file_name", "remote_id"]
+
+
 def acknowledgements(events: DataFrame, target: str = DELIVERY_TARGET) -> DataFrame:
-    """Ledger events as (file_name, delivered, confirmed) rows."""
+    """Ledger events as (file_name, remote_id, delivered, confirmed) rows."""
     delivered = (F.col("type") == "Delivered") & (F.col("data")["target"] == target)
     confirmed = F.col("type") == "ImportConfirmed"
     return events.filter(delivered | confirmed).select(
         F.col("data")["file_name"].alias("file_name"),
+        F.coalesce(F.col("data")["remote_id"], F.lit("")).alias("remote_id"),
         delivered.alias("delivered"),
         confirmed.alias("confirmed"),
     )
@@ -43,16 +49,20 @@ def file_status(
     present: DataFrame,
     as_of: Column,
     days: int = REMINDER_DAYS,
+    key: list[str] | None = None,
 ) -> DataFrame:
-    """Each outstanding file: imported, awaiting or overdue.
+    """Each outstanding delivery: imported, awaiting or overdue.
+
+    Deliveries are told apart by what ``present`` has of :data:`DELIVERY`.
 
     A present file whose name does not begin with a date never is overdue.
     """
+    key = key or [name for name in DELIVERY if name in present.columns]
     no = F.lit(False)
-    tagged = acks.select("file_name", "delivered", "confirmed", no.alias("present"))
+    tagged = acks.select(*key, "delivered", "confirmed", no.alias("present"))
     tagged = tagged.unionByName(
         present.select(
-            "file_name",
+            *key,
             no.alias("delivered"),
             no.alias("confirmed"),
             F.lit(True).alias("present"),
@@ -60,7 +70,7 @@ def file_status(
     )
     age = file_age(F.col("file_name"), as_of)
     folded = (
-        tagged.groupBy("file_name")
+        tagged.groupBy(*key)
         .agg(
             F.max("delivered").alias("delivered"),
             F.max("confirmed").alias("confirmed"),
@@ -73,12 +83,13 @@ def file_status(
         .when(age >= days, F.lit("overdue"))
         .otherwise(F.lit("awaiting"))
     )
-    return folded.select("file_name", age.alias("age_days"), status.alias("status"))
+    return folded.select(*key, age.alias("age_days"), status.alias("status"))
 
 
 def confirmations(status: DataFrame) -> DataFrame:
     """ImportConfirmed events for the files that are gone."""
-    made = event("ImportConfirmed", file_name=F.col("file_name"), how=F.lit(CONFIRMED_HOW))
+    known = {name: F.col(name) for name in DELIVERY if name in status.columns}
+    made = event("ImportConfirmed", **known, how=F.lit(CONFIRMED_HOW))
     return (
         status.filter(F.col("status") == "imported")
         .select("file_name", made.alias("_event"))

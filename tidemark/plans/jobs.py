@@ -10,31 +10,41 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.events import payload
 from tidemark.functions.names import chunk_name, new_run_id
 from tidemark.operators import coverage, gate, reconcile, records, runs
 from tidemark.plans.store import Store
 from tidemark.schema import (
+    ACTION_COMMIT,
+    ACTION_COMPUTE,
+    ACTION_DELIVER,
     CHUNK_RECORDS,
-    DELIVERY_CHECK_RUNS,
     DELIVERY_TARGET,
+    EMPTY_MASTER,
+    FAILED,
     GATE_FRACTION,
     KEY,
-    RECONCILE_RUNS,
     REMINDER_DAYS,
+    SKIPPED,
+    STATUS_MONTHS,
     STATUS_RUNS,
+    STEP_REBASELINE,
+    SUCCESS,
 )
 from tidemark.session import stage
 from tidemark.sinks import export
 from tidemark.sources import dimension, extracts, files
 from tidemark.sources.extracts import Format
-from tidemark.sources.ledger import append
-from tidemark.sources.master import describe
+from tidemark.sources.ledger import RunLedger, is_missing
+from tidemark.sources.master import MasterError, Version, commit_event, describe
 
 logger = logging.getLogger(__name__)
 
@@ -54,28 +64,63 @@ class Outcome:
     delivered_path: str = ""
 
 
-@dataclass(frozen=True)
-class _State:
-    """The state row the decision reads."""
-
-    query_submitted: bool = True
-    staged: int = 0
-    school_count: int = 0
-    staging_deadline_passed: bool = True
-    has_diff: bool = True
-    new_count: int = 0
-    known_count: int = 0
-    files_transformed: int = 0
-    fetch_failures: int = 0
-    delivered: bool = False
-    delivered_elsewhere: bool = False
-    master_committed: bool = False
+@contextmanager
+def _during(ledger: RunLedger, step: str) -> Iterator[None]:
+    """What is raised inside closes the run under the name of its step."""
+    try:
+        yield
+    except Exception as error:
+        ledger.append(("RunFailed", {"step": step, "error": type(error).__name__}))
+        raise
 
 
-def _decide(store: Store, state: _State, fraction: float | None):
-    row = store.spark.createDataFrame(pa.Table.from_pylist([vars(state)]))
-    step = gate.next_step(F.lit(fraction).cast("double"))
-    return row.select(step.alias("s")).first()["s"]
+def _verdict(store: Store, fraction: float | None, **metrics: int) -> tuple:
+    """The decision on a run's metrics, and its closing event if nothing is to deliver."""
+    fixed = {"query_submitted": True, "staging_deadline_passed": True, "has_diff": True}
+    later = {"delivered": False, "delivered_elsewhere": False, "master_committed": False}
+    row = store.spark.createDataFrame(pa.Table.from_pylist([metrics | fixed | later]))
+    decided = row.withColumn("d", gate.next_step(F.lit(fraction).cast("double")))
+    told = decided.select("d", _closing(F.col("d.status"), F.col("d.step"), F.col("d.error")))
+    return told.first()
+
+
+def _closing(status, step, error):
+    """The event that ends a run with ``status``, from the metrics of its row."""
+    return gate.terminal_event(
+        status,
+        step,
+        error,
+        F.lit("diff already delivered by another run"),
+        schools=F.col("school_count"),
+        files_transformed=F.col("files_transformed"),
+        new_records=F.col("new_count"),
+        fetch_failures=F.col("fetch_failures"),
+    ).alias("closing")
+
+
+def _landing(store: Store, paths: list[str], fmt: Format):
+    """The landing, and how many files lie in it, empty ones too; none if there is no file."""
+    try:
+        listed = files.count_files(store.spark, paths)
+        return extracts.read_landing(store.spark, paths, fmt), listed
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return None, 0
+
+
+def _fetched(listed: DataFrame) -> DataFrame:
+    """A RecordsFetched event per file, in the order of their names; one row per file."""
+    return listed.select(
+        F.row_number().over(Window.orderBy("file")).cast("long").alias("seq"),
+        F.lit("RecordsFetched").alias("type"),
+        payload(
+            "RecordsFetched",
+            school_id=F.substring_index("file", "/", -1),
+            content_hash=F.col("content_hash"),
+            byte_size=F.col("bytes"),
+        ).alias("data"),
+    )
 
 
 def run_incremental(
@@ -91,156 +136,115 @@ def run_incremental(
 ) -> Outcome:
     """Take a landing of files, deliver what is new, then advance the master.
 
-    ``expected_sources`` is how many files should have come; missing ones and
+    ``expected_sources`` is how many files should have come; missing, empty and
     rejected ones count as failures.  ``fraction`` None turns the gate off.
     """
     run_id = run_id or new_run_id("run", store.now())
     ledger = store.run_ledger(run_id)
     ledger.append(("RunStarted", {"kind": "run", "trigger": trigger}))
-    step = "reconcile"
-    try:
-        run_reconciliation(store, as_of, ledger=ledger)
-        step = "compute_diff"
-        landing = extracts.read_landing(store.spark, paths, fmt)
-        # One event per file; the listing of the files is on the driver anyway.
-        fetched = landing.files.orderBy("file").collect()
-        fetch_events, accepted, total = [], 0, 0
-        for row in fetched:
-            total += 1
-            accepted += row["accepted"]
-            fetch_events.append(
+    run_reconciliation(store, as_of, ledger=ledger)
+
+    with _during(ledger, ACTION_COMPUTE):
+        version = store.version()
+        known = store.master.read(version)
+        landing, staged = _landing(store, paths, fmt)
+        accepted = new_count = 0
+        segment = file_name = ""
+        if landing:
+            counts = landing.files.agg(
+                F.count(F.lit(1)).alias("read"), F.sum(F.col("accepted").cast("long")).alias("ok")
+            ).first()
+            accepted = counts["ok"] or 0
+            ledger.append_rows(_fetched(landing.files))
+            ledger.seq += counts["read"]
+            current = stage(extracts.combine(landing), "current")
+            size = records.measure(current)
+            partitions = store.master.buckets() or 1
+            new = stage(records.new_records(current, known, size, partitions), "new")
+            segment, new_count, digest = describe(new)
+            after = version.plus(segment, new_count, digest)
+            ledger.append(
                 (
-                    "RecordsFetched",
+                    "DiffComputed",
                     {
-                        "school_id": row["file"].rsplit("/", 1)[-1],
-                        "content_hash": row["content_hash"],
-                        "byte_size": row["bytes"],
+                        "new_count": new_count,
+                        "total_count": size.rows,
+                        "known_hash": version.name,
+                        "diff_hash": segment,
                     },
                 )
             )
-        if fetch_events:
-            ledger.append(*fetch_events)
-        expected = total if expected_sources is None else expected_sources
-        failures = max(expected, total) - accepted
-
-        current = stage(extracts.combine(landing), "current")
-        size = records.measure(current)
-        version = store.version()
-        known = store.master.read(version)
-        partitions = store.master.buckets() or 1
-        new = stage(records.new_records(current, known, size, partitions), "new")
-        segment, new_count, digest = describe(new)
-        ledger.append(
-            (
-                "DiffComputed",
-                {
-                    "new_count": new_count,
-                    "total_count": size.rows,
-                    "known_hash": version.name,
-                    "diff_hash": segment,
-                },
-            )
-        )
-        if new_count:
-            export.archive(new, store.archive_path, as_of, segment)
-
-        file_name = export.diff_name(as_of)
-        state = _State(
-            staged=total,
+        expected = max(staged, expected_sources or 0)
+        decision, closing = _verdict(
+            store,
+            fraction,
+            staged=staged,
             school_count=expected,
             new_count=new_count,
             known_count=version.records,
             files_transformed=accepted,
-            fetch_failures=failures,
+            fetch_failures=expected - accepted,
         )
-        done = {"delivered_path": ""}
-        while True:
-            decision = _decide(store, state, fraction)
-            step = decision["action"]
-            if step == "deliver_diff":
-                elsewhere = _delivered_before(store, as_of, file_name, segment)
-                if not elsewhere:
-                    done["delivered_path"] = export.write_diff(
-                        new, store.delivery_path, as_of, segment
-                    )
-                    ledger.append(
-                        (
-                            "Delivered",
-                            {
-                                "file_name": file_name,
-                                "target": DELIVERY_TARGET,
-                                "remote_id": segment,
-                            },
-                        )
-                    )
-                state = _replace(state, delivered=True, delivered_elsewhere=elsewhere)
-            elif step == "commit_master":
-                # Exactly the set that was delivered, as staged above.
-                store.master.write_segment(new, segment)
-                after = version.plus(segment, new_count, digest)
-                ledger.append(
-                    (
-                        "MasterCommitted",
-                        {
-                            "master_hash": after.name,
-                            "record_count": after.records,
-                            "snapshot_path": segment,
-                        },
-                    ),
-                    required=True,
-                )
-                state = _replace(state, master_committed=True)
-            else:
-                break
-    except Exception as error:
-        ledger.append(("RunFailed", {"step": step, "error": type(error).__name__}))
-        raise
+    # A copy is kept even of what the gate stops.
+    if new_count:
+        export.archive(new, store.archive_path, as_of, segment)
 
-    _finish(ledger, decision, state)
+    status, path = decision["status"], ""
+    if decision["action"] == ACTION_DELIVER:
+        file_name = export.diff_name(as_of)
+        elsewhere = _delivered_before(store, file_name, segment)
+        status = SKIPPED if elsewhere else SUCCESS
+        if not elsewhere:
+            with _during(ledger, ACTION_DELIVER):
+                path = export.write_diff(new, store.delivery_path, as_of, segment)
+            sent = {"file_name": file_name, "target": DELIVERY_TARGET, "remote_id": segment}
+            ledger.append(("Delivered", sent))
+        with _during(ledger, ACTION_COMMIT):
+            # Exactly the set that was delivered, as staged above.
+            store.master.write_segment(new, segment)
+            ledger.append(commit_event(version, after, segment), required=True)
+            if store.version().name != after.name:
+                raise MasterError("another run committed first; what it lacks is new next time")
+        closing = _ended(store, status, expected, accepted, new_count)
+    ledger.append((closing["type"], dict(closing["data"])))
     return Outcome(
         run_id,
-        decision["status"],
+        status,
         decision["step"],
         decision["error"],
         new_count,
         version.records,
         accepted,
-        failures,
-        done["delivered_path"],
+        expected - accepted,
+        path,
     )
 
 
-def _replace(state: _State, **changes) -> _State:
-    return _State(**{**vars(state), **changes})
-
+def _ended(store: Store, status: str, expected: int, accepted: int, new_count: int):
+    """The closing event of a run that delivered, or found that another had."""
+    metrics = {
+        "school_count": expected,
+        "files_transformed": accepted,
+        "new_count": new_count,
+        "fetch_failures": expected - accepted,
+    }
+    row = store.spark.createDataFrame(pa.Table.from_pylist([metrics]))
+    return row.select(_closing(F.lit(status), F.lit(""), F.lit(""))).first()["closing"]
 
-def _finish(ledger, decision, state: _State) -> None:
-    """The one place a run that was decided to its end is closed."""
-    status = decision["status"]
-    if status == "success":
-        totals = {
-            "schools": state.school_count,
-            "files_transformed": state.files_transformed,
-            "new_records": state.new_count,
-            "fetch_failures": state.fetch_failures,
-        }
-        ledger.append(("RunCompleted", totals))
-    elif status == "skipped":
-        ledger.append(("RunSkipped", {"reason": "diff already delivered by another run"}))
-    else:
-        failed = {"step": decision["step"], "error": decision["error"]}
-        ledger.append(("RunFailed", failed))
 
-
-def _delivered_before(store: Store, as_of: dt.date, file_name: str, segment: str) -> bool:
-    """Whether a recent run delivered this file with this content.
+def _delivered_before(store: Store, file_name: str, remote_id: str) -> bool:
+    """Whether any run delivered this file with this content.
 
     The day alone does not tell two diffs of one day apart, so the content
-    name is part of the question.
+    name is part of the question.  Best effort: a ledger that cannot be read
+    says no, and the file is delivered again under the same name.
     """
-    events = runs.of_newest_runs(store.events(as_of), DELIVERY_CHECK_RUNS)
-    wanted = (F.col("file_name") == file_name) & (F.col("remote_id") == segment)
-    return not runs.deliveries(events).filter(wanted).isEmpty()
+    wanted = (F.col("file_name") == file_name) & (F.col("remote_id") == remote_id)
+    try:
+        return not runs.deliveries(store.events()).filter(wanted).isEmpty()
+    except Exception as error:  # noqa: BLE001
+        logger.warning("earlier deliveries unknown: %s", type(error).__name__)
+        return False
 
 
 def run_rebaseline(
@@ -251,79 +255,80 @@ def run_rebaseline(
     trigger: str = "manual",
     run_id: str | None = None,
 ) -> Outcome:
-    """Export everything known in numbered files of at most ``size`` rows."""
+    """Export everything known in numbered files of at most ``size`` rows.
+
+    The export is named by its day, the master's version and the size, so a
+    rerun writes and announces nothing that is there already.
+    """
     run_id = run_id or new_run_id("rebaseline", store.now())
     ledger = store.run_ledger(run_id)
     ledger.append(("RunStarted", {"kind": "rebaseline", "trigger": trigger}))
-    try:
+    with _during(ledger, STEP_REBASELINE):
         version = store.version()
         if not version.records:
-            ledger.append(("RunFailed", {"step": "rebaseline", "error": "EmptyMaster"}))
-            return Outcome(run_id, "failed", "rebaseline", "EmptyMaster")
-        path = f"{store.delivery_path}/rebaseline/{run_id}"
-        numbered = export.write_chunks(store.master.read(version), path, as_of, size)
-        total = -(-numbered.total // size)
-        stamp = store.now().replace(microsecond=0)
-        _append_chunk_deliveries(store, run_id, as_of, total, ledger.seq, stamp)
+            ledger.append(("RunFailed", {"step": STEP_REBASELINE, "error": EMPTY_MASTER}))
+            return Outcome(run_id, FAILED, STEP_REBASELINE, EMPTY_MASTER)
+        total = -(-version.records // size)
+        content = f"{as_of.isoformat()}-{version.name}-{size}"
+        path = f"{store.delivery_path}/rebaseline/{content}"
+        last = chunk_name(F.lit(as_of.isoformat()), F.lit(total), F.lit(total))
+        last = store.spark.range(1).select(last.alias("name")).first()["name"]
+        if _delivered_before(store, last, content):
+            ledger.append(("RunSkipped", {"reason": "export already delivered by another run"}))
+            return Outcome(run_id, SKIPPED, known_count=version.records, delivered_path=path)
+        export.write_chunks(store.master.read(version), path, as_of, size)
+        ledger.append_rows(_chunk_deliveries(store, as_of, total, content))
         ledger.seq += total
-        ledger.append(("RunCompleted", {"chunks": total, "records": numbered.total}))
-    except Exception as error:
-        ledger.append(("RunFailed", {"step": "rebaseline", "error": type(error).__name__}))
-        raise
+        ledger.append(("RunCompleted", {"chunks": total, "records": version.records}))
     return Outcome(
-        run_id, "success", known_count=numbered.total, files_transformed=total,
+        run_id, SUCCESS, known_count=version.records, files_transformed=total,
         delivered_path=path,
     )
 
 
-def _append_chunk_deliveries(
-    store: Store, run_id: str, as_of: dt.date, total: int, seq: int, at: dt.datetime
-) -> None:
+def _chunk_deliveries(store: Store, as_of: dt.date, total: int, content: str) -> DataFrame:
     """A Delivered event per chunk, made where they are written."""
-    chunk = store.spark.range(1, total + 1).withColumnRenamed("id", "chunk_no")
-    name = chunk_name(F.lit(as_of.isoformat()), F.col("chunk_no"), F.lit(total))
-    events = chunk.select(
-        F.lit(run_id).alias("run_id"),
-        (F.col("chunk_no") + seq).cast("int").alias("seq"),
-        F.lit("Delivered").alias("type"),
-        F.lit(at).cast("timestamp_ntz").alias("at"),
-        payload(
-            "Delivered", file_name=name, target=F.lit(DELIVERY_TARGET), remote_id=F.lit("")
-        ).alias("data"),
+    chunk = store.spark.range(1, total + 1).withColumnRenamed("id", "seq")
+    name = chunk_name(F.lit(as_of.isoformat()), F.col("seq"), F.lit(total))
+    sent = payload(
+        "Delivered", file_name=name, target=F.lit(DELIVERY_TARGET), remote_id=F.lit(content)
     )
-    append(events, store.ledger_path)
+    return chunk.select("seq", F.lit("Delivered").alias("type"), sent.alias("data"))
 
 
 def run_reconciliation(
     store: Store,
     as_of: dt.date,
     *,
-    ledger=None,
-    months: int = 2,
-    newest: int = RECONCILE_RUNS,
+    ledger: RunLedger | None = None,
     days: int = REMINDER_DAYS,
 ) -> DataFrame | None:
     """Record which delivered files have been imported since.
 
-    Best effort: whatever goes wrong here must not stop a delivery.  Returns
-    the status of each outstanding file.
+    All deliveries of all time are looked at; ages are by ``as_of``.  Best
+    effort: whatever goes wrong here must not stop a delivery.  Returns the
+    status of each outstanding delivery.
     """
     try:
-        events = runs.of_newest_runs(store.events(as_of, months), newest)
-        acks = reconcile.acknowledgements(events)
-        if acks.isEmpty():
-            return None
+        acks = reconcile.acknowledgements(store.events())
         present = files.folder_names(store.spark, store.delivery_path)
         status = reconcile.file_status(acks, present, F.lit(as_of), days)
         status = stage(status, "file-status")
-        gone = reconcile.confirmations(status).orderBy("file_name").toLocalIterator()
-        confirmed = [(row["type"], row["data"]) for row in gone]
-        if confirmed:
+        found = status.groupBy().agg(
+            F.count(F.lit(1)).alias("all"),
+            F.count_if(F.col("status") == "imported").alias("imported"),
+            F.count_if(F.col("status") == "overdue").alias("overdue"),
+        ).first()
+        if not found["all"]:
+            return None
+        if found["imported"]:
             ledger = ledger or store.run_ledger(new_run_id("reconcile", store.now()))
-            ledger.append(*confirmed)
-        overdue = status.filter(F.col("status") == "overdue").count()
-        if overdue:
-            logger.warning("%d delivered file(s) still await import", overdue)
+            gone = reconcile.confirmations(status)
+            order = Window.orderBy("file_name", F.col("data")["remote_id"])
+            ledger.append_rows(gone.withColumn("seq", F.row_number().over(order).cast("long")))
+            ledger.seq += found["imported"]
+        if found["overdue"]:
+            logger.warning("%d delivered file(s) still await import", found["overdue"])
         return status
     except Exception as error:  # noqa: BLE001
         logger.warning("reconciliation skipped: %s", type(error).__name__)
@@ -340,8 +345,8 @@ def readiness(config: DataFrame, listings: DataFrame) -> DataFrame:
 
 
 def status(store: Store, as_of: dt.date, limit: int = STATUS_RUNS) -> DataFrame:
-    """The newest runs of the last two months and how they ended."""
-    return runs.status_report(store.events(as_of), limit)
+    """The newest runs of the last months, by the ledger's clock, and how they ended."""
+    return runs.status_report(store.events(STATUS_MONTHS), limit)
 
 
 def compact(store: Store) -> str:
@@ -357,10 +362,7 @@ def compact(store: Store) -> str:
     run_id = new_run_id("compact", store.now())
     store.run_ledger(run_id).append(
         ("RunStarted", {"kind": "compact", "trigger": "manual"}),
-        (
-            "MasterCommitted",
-            {"master_hash": segment, "record_count": count, "snapshot_path": segment},
-        ),
+        commit_event(version, Version(count, digest, (segment,)), segment),
         ("RunCompleted", {"records": count}),
         required=True,
     )

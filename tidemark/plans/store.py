@@ -43,9 +43,12 @@ class Store:
     def run_ledger(self, run_id: str) -> ledger.RunLedger:
         return ledger.RunLedger(self.spark, self.ledger_path, run_id, self.now)
 
-    def events(self, as_of: dt.date | None = None, months: int = 2) -> DataFrame:
-        """Ledger events, of all time or of the months up to ``as_of``."""
-        window = month_window(as_of, months) if as_of else None
+    def events(self, months: int | None = None) -> DataFrame:
+        """Ledger events, of all time or of the last months by the ledger's clock.
+
+        Events are filed by when they were written, whatever day a run was for.
+        """
+        window = month_window(self.now().date(), months) if months else None
         return ledger.read(self.spark, self.ledger_path, window)
 
     def version(self) -> Version:

@@ -27,10 +27,20 @@ CHUNK_RECORDS = 10_000
 # Days before a delivered file that is still present counts as overdue.
 REMINDER_DAYS = 7
 
-# Runs looked at by the status report, delivery check and reconciliation.
+# Runs shown by the status report, and the months it looks back.
 STATUS_RUNS = 10
-DELIVERY_CHECK_RUNS = 20
-RECONCILE_RUNS = 50
+STATUS_MONTHS = 2
+
+# What a run does next, the states it ends in, its steps and the names of faults.
+ACTION_SUBMIT, ACTION_WAIT, ACTION_COMPUTE = "submit_queries", "awaiting_results", "compute_diff"
+ACTION_DELIVER, ACTION_COMMIT, ACTION_FINISH = "deliver_diff", "commit_master", "finish"
+SUCCESS, SKIPPED, BLOCKED, FAILED = "success", "skipped", "blocked", "failed"
+STEP_RECONCILE, STEP_FETCH, STEP_GATE, STEP_REBASELINE = (
+    "reconcile", "fetch", "diff_sanity", "rebaseline",
+)
+NOTHING_STAGED, ALL_FAILED, TOO_LARGE, EMPTY_MASTER = (
+    "NoResultsStaged", "AllDownloadsFailed", "SuspiciousDiffVolume", "EmptyMaster",
+)
 
 # Ledger events and their payload fields; RunCompleted takes any counts.
 EVENT_FIELDS = {
@@ -45,6 +55,9 @@ EVENT_FIELDS = {
     "RunCompleted": None,
     "RunFailed": ["step", "error"],
 }
+# What an event may carry besides: the version a commit was made on, and which
+# of several files of one name was imported.
+MORE_FIELDS = {"MasterCommitted": ["base"], "ImportConfirmed": ["remote_id"]}
 TERMINAL_TYPES = ["RunCompleted", "RunSkipped", "RunFailed"]
 NO_TERMINAL = "NO TERMINAL EVENT"
 DELIVERY_TARGET = "drive"
@@ -64,7 +77,7 @@ RECORD_SCHEMA = T.StructType(
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
-        T.StructField("seq", T.IntegerType()),
+        T.StructField("seq", T.LongType()),
         T.StructField("type", T.StringType()),
         T.StructField("at", T.TimestampNTZType()),
         T.StructField("data", T.MapType(T.StringType(), T.StringType())),

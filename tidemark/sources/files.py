@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.digest import digest_sum
 
-# A file above this size gets a digest summed over its lines.
+# The largest file of which one task makes a SHA-256.
 WHOLE_FILE_BYTES = 512 * 1024 * 1024
 
 
@@ -35,52 +36,71 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def count_files(spark: SparkSession, paths: list[str]) -> int:
+    """How many files lie there, those without a byte too, which no scan gives."""
+    return len(spark.read.text(paths).inputFiles())
+
+
 def folder_names(spark: SparkSession, path: str) -> DataFrame:
-    """The names of exported files present in a delivery folder.
+    """Name and content of the exported files present in a delivery folder.
 
-    An exported file is a folder named after it; its parts lie inside.
+    An exported file is a folder named after it, its parts lie inside, and the
+    folder above names the content.  A folder that is not there is an empty one.
     """
-    name = F.regexp_extract("path", r"/file_name=([^/]+)/[^/]+$", 1)
+    try:
+        listed = list_files(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        listed = spark.range(0).select(F.lit("").alias("path"))
+    found = r"/(?:fp=)?([^/]+)/file_name=([^/]+)/[^/]+$"
     return (
-        list_files(spark, path)
-        .select(name.alias("file_name"))
+        listed.select(
+            F.regexp_extract("path", found, 2).alias("file_name"),
+            F.regexp_extract("path", found, 1).alias("remote_id"),
+        )
         .filter(F.col("file_name") != "")
         .distinct()
     )
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """Size and digest of every file below a folder.
+    """Size and order-free line digest of every file below a folder.
 
-    A file that one task can hold has its SHA-256; the size is filtered in the
-    scan, before any content is read.  A larger one is read as lines by many
-    tasks and has the order-free digest of its lines.
+    Files of all sizes are read as lines by many tasks.  Spark's readers pass
+    over files without a byte.
     """
-    small = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .filter(F.col("length") <= WHOLE_FILE_BYTES)
-        .select(
-            "path",
-            "length",
-            F.sha2("content", 256).alias("sha256"),
-            F.lit(None).cast("string").alias("line_digest"),
-        )
-    )
     # The scan gives URI-encoded names, in which a plus sign is a plus sign.
-    name = F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B")))
-    large = (
+    name = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    lines = (
         spark.read.option("recursiveFileLookup", "true")
         .text(path)
-        .filter(F.col("_metadata.file_size") > WHOLE_FILE_BYTES)
-        .groupBy(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_size").alias("length"),
-        )
+        .groupBy(name.alias("_name"))
         .agg(digest_sum(F.col("value")).cast("string").alias("line_digest"))
-        .select(
-            name.alias("path"), "length", F.lit(None).cast("string").alias("sha256"), "line_digest"
-        )
+        .select(_plain("_name"), "line_digest")
+    )
+    listed = list_files(spark, path).select("path", "length", _plain("path"))
+    return listed.join(lines, "_plain", "left").select(
+        "path", "length", F.coalesce("line_digest", F.lit("0")).alias("line_digest")
+    )
+
+
+def _plain(name: str):
+    """A file's name without its scheme, as the two scans write it differently."""
+    return F.regexp_replace(name, r"^[a-z0-9]+:/+", "/").alias("_plain")
+
+
+def file_sha256(spark: SparkSession, path: str) -> DataFrame:
+    """Size and SHA-256 of every file below a folder, for callers that need the bytes' own.
+
+    A task holds a whole file, so a file over ``WHOLE_FILE_BYTES`` fails the job.
+    """
+    digest = F.when(F.col("length") <= WHOLE_FILE_BYTES, F.sha2("content", 256)).otherwise(
+        F.raise_error(F.concat(F.lit("too large for one task: "), F.col("path")))
+    )
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select("path", "length", digest.alias("sha256"))
     )
-    return small.unionByName(large)

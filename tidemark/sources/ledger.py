@@ -24,7 +24,7 @@ _PARTITIONED = T.StructType(
 _ARROW = pa.schema(
     [
         ("run_id", pa.string()),
-        ("seq", pa.int32()),
+        ("seq", pa.int64()),
         ("type", pa.string()),
         ("at", pa.timestamp("us")),
         ("data", pa.map_(pa.string(), pa.string())),
@@ -80,6 +80,24 @@ class RunLedger:
     now: object = field(default=lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     seq: int = 0
 
+    def append_rows(self, events: DataFrame) -> None:
+        """Append events made where their data lies: ``seq`` from 1, ``type``, ``data``.
+
+        Best effort, like :meth:`append`.
+        """
+        stamp = self.now().replace(microsecond=0)
+        rows = events.select(
+            F.lit(self.run_id).alias("run_id"),
+            (F.col("seq") + self.seq).alias("seq"),
+            "type",
+            F.lit(stamp).cast("timestamp_ntz").alias("at"),
+            "data",
+        )
+        try:
+            append(rows, self.path)
+        except Exception as error:  # noqa: BLE001
+            logger.warning("ledger append failed: %s", type(error).__name__)
+
     def append(self, *events: tuple[str, dict], required: bool = False) -> None:
         """Append events.  A ledger that cannot be written must not stop a
         delivery, so failures are logged; ``required`` raises them instead,

@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.digest import fingerprint
+from tidemark.operators.runs import claim_winners
 from tidemark.schema import KEY, RECORD_SCHEMA
 from tidemark.sources import ledger
 
@@ -127,33 +128,47 @@ class Master:
         self.spark.catalog.dropTempView(view)
 
 
+def commit_event(base: Version, after: Version, segment: str) -> tuple[str, dict]:
+    """The event that makes ``segment`` part of the master, on top of ``base``."""
+    data = {
+        "base": base.name,
+        "master_hash": after.name,
+        "record_count": after.records,
+        "snapshot_path": segment,
+    }
+    return "MasterCommitted", data
+
+
 def committed(events: DataFrame) -> Version:
-    """The version the ledger's commits add up to.
+    """The version that the ledger's commits lead to.
 
-    One small row per commit; a segment committed twice counts once.  A segment
-    whose name is the master's own holds the whole master, so a compaction
-    takes the place of all segments before it.
+    Each commit names the version it was made on.  Of several commits on one
+    version the first counts, ties by run id; what the others held is new again
+    in the next run, so two writers never put a record in twice.  A segment whose
+    name is the master's own holds the whole master, so a compaction takes the
+    place of all segments before it.  One small row per commit.
     """
-    rows = (
-        events.filter(F.col("type") == "MasterCommitted")
-        .select(
-            F.col("data")["master_hash"].alias("master"),
-            F.col("data")["record_count"].cast("long").alias("records"),
-            F.col("data")["snapshot_path"].alias("segment"),
-        )
-        .groupBy("segment")
-        .agg(
-            F.min("records").alias("records"),
-            F.min_by("master", "records").alias("master"),
-        )
-        .orderBy("records")
-        .collect()
+    attempts = events.filter(F.col("type") == "MasterCommitted").select(
+        F.col("data")["base"].alias("base"),
+        F.col("data")["master_hash"].alias("master"),
+        "at",
+        F.concat_ws(
+            "\n", "run_id", F.col("data")["record_count"], F.col("data")["snapshot_path"]
+        ).alias("run_id"),
+    )
+    moves = claim_winners(attempts.filter("base <> master"), ["base", "master"])
+    moves = claim_winners(
+        moves.withColumn("run_id", F.concat_ws("\n", "run_id", "master")), ["base"]
     )
-    if not rows:
-        return Version()
-    whole = [row for row in rows if row["segment"] == row["master"]]
-    base = whole[-1]
-    later = [row["segment"] for row in rows if row["records"] > base["records"]]
-    last = rows[-1]
-    digest = int(last["master"].split("-")[1])
-    return Version(last["records"], digest, (base["segment"], *later))
+    won = {row["base"]: row["run_id"] for row in moves.collect()}
+    # Compactions: one segment in the place of all of a version.
+    folds = attempts.filter("base = master").filter(F.col("run_id").endswith(F.concat(F.lit("\n"), "master")))
+    folded = {row["base"] for row in folds.select("base").distinct().collect()}
+    version = Version()
+    while version.name in won:
+        _, records, segment, master = won.pop(version.name).split("\n")
+        before = () if segment == master else version.segments
+        version = Version(int(records), int(master.split("-")[1]), (*before, segment))
+        if version.name in folded:
+            version = Version(version.records, version.digest, (version.name,))
+    return version
