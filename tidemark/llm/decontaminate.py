@@ -235,7 +235,7 @@ def matches(
         F.bit_count(F.col("b0").bitwiseXOR(F.col("i0"))),
     )
     close = (
-        in_blocks(prints, [0]).join(index, ["size", "block", "value"])
+        in_blocks(prints, [0]).join(index.hint("merge"), ["size", "block", "value"])
         .where(apart <= RADIUS)
         .select("window", "item", "weight", "item_weight").distinct()
     )
