@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from tidemark.session import scratch_path
 
 END_ID = 2
 #: Entries that a worker keeps before it starts afresh; results don't depend on it.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 1_000_000
 SLICE_ROWS = 256
 
 #: Settings of the files: stripes, rows per index entry, Bloom filters.
@@ -60,6 +61,7 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {}
+        self.firsts: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         first = spec.get("pre_tokenizer") or {}
@@ -75,37 +77,54 @@ class Encoder:
 
     def _pack(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(one.ids, "<u4").tobytes() for one in found]
+        return [array("I", one.ids).tobytes() for one in found]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed little-endian unsigned 32-bit ids of each text."""
-        cut: list[list[str] | None] = []
-        wanted: set[str] = set()
-        for text in texts:
-            if not self.by_word or _RUNS.search(text):
-                cut.append(None)
-                continue
-            parts = [f" {part}" if part[:1] != "\n" else part
-                     for part in text.replace("\n", " \n").split(" ")]
-            # The first part had no space before it.
-            parts[0] = parts[0][1:]
-            if not parts[0]:
-                del parts[0]
-            cut.append(parts)
-            wanted.update(parts)
-        memo = self.memo
-        new = list(wanted - memo.keys())
-        if len(memo) + len(new) > MEMO_ENTRIES:
+    def _learn(self, memo: dict[str, bytes], parts: set[str], before: str) -> None:
+        """Encodes words that follow a space (or a line end that they begin with)."""
+        if len(memo) + len(parts) > MEMO_ENTRIES:
             memo.clear()
-            new = list(wanted)
+        new = list(parts)
         for begin in range(0, len(new), 4096):
-            part = new[begin : begin + 4096]
-            memo.update(zip(part, self._pack(part)))
-        whole = iter(self._pack([t for t, parts in zip(texts, cut) if parts is None]))
-        return [
-            next(whole) if parts is None else b"".join([memo[part] for part in parts])
-            for parts in cut
+            some = new[begin : begin + 4096]
+            texts = [part if part[:1] == "\n" else before + part for part in some]
+            memo.update(zip(some, self._pack(texts)))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text, as 32-bit integers in the machine's order."""
+        cut: list[list[str] | None] = [
+            None
+            if not self.by_word or _RUNS.search(text)
+            else text.replace("\n", " \n").split(" ")
+            for text in texts
         ]
+        memo, firsts = self.memo, self.firsts
+        out: list[bytes | None] = []
+        again: list[int] = []
+        wanted: set[str] = set()
+        for at, parts in enumerate(cut):
+            if parts is None:
+                out.append(None)
+                continue
+            # The first part has no space before it.
+            found = [firsts.get(parts[0]), *map(memo.get, parts[1:])]
+            if None in found:
+                again.append(at)
+                wanted.update(p for p, ids in zip(parts[1:], found[1:]) if ids is None)
+                out.append(None)
+            else:
+                out.append(b"".join(found))
+        if again:
+            self._learn(firsts, {cut[at][0] for at in again}, "")
+            if len(memo) + len(wanted) > MEMO_ENTRIES:  # all starts afresh
+                wanted = {part for at in again for part in cut[at][1:]}
+            self._learn(memo, wanted, " ")
+            for at in again:
+                first, *rest = cut[at]
+                out[at] = firsts[first] + b"".join(map(memo.__getitem__, rest))
+        whole = [at for at, parts in enumerate(cut) if parts is None]
+        for at, ids in zip(whole, self._pack([texts[at] for at in whole])):
+            out[at] = ids
+        return out
 
 
 _loaded: dict[str, Encoder] = {}
@@ -118,7 +137,7 @@ def encoder(path: str) -> Encoder:
 
 
 def _encode(path: str, end_id: int):
-    end = np.asarray([end_id], "<u4").tobytes()
+    end = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = encoder(path)
@@ -133,7 +152,7 @@ def _encode(path: str, end_id: int):
                 packed = [one + end for one in library.encode(texts)]
                 sizes = np.fromiter((len(one) // 4 for one in packed), np.int64, len(packed))
                 ends = np.cumsum(sizes)
-                flat = np.frombuffer(b"".join(packed), "<i4").astype(np.int32)
+                flat = np.frombuffer(b"".join(packed), np.int32)
                 offsets = np.r_[0, ends].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
