@@ -34,10 +34,11 @@ from tidemark.llm.words import hashes, mix
 from tidemark.session import stage
 
 #: Bytes of text after which a block is closed, and that a bucket should get.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 #: Added to each count at the root.
 ADD = 0.1
-#: Rows looked at to find frequent histories, and how frequent those are.
+#: About how many rows are looked at to find frequent histories, and how frequent
+#: those are.
 #: This decides how rows are dealt out and nothing else.
 HEAVY_SAMPLE_ROWS = 2000
 HEAVY_SHARE = 1 / 1000
@@ -389,7 +390,8 @@ def score(
 
 def frequent_histories(rows: DataFrame) -> np.ndarray:
     """Hashes of the histories that a sample shows to be frequent, sorted; at most a thousand."""
-    words = rows.limit(HEAVY_SAMPLE_ROWS).select(
+    share = min(1.0, HEAVY_SAMPLE_ROWS / max(rows.count(), 1))
+    words = rows.sample(share, seed=1).select(
         F.explode_outer(
             F.split(F.translate(F.decode("_text", "UTF-8"), _UPPER, _UPPER.lower()), r"[\x20\x09-\x0D]+")
         ).alias("w")
