@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.session import stage
 
 #: Largest side, in bytes of its rows, that is broadcast; larger ones are shuffled.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 64 << 20
 #: Bytes a broadcast row takes besides its variable-length parts.
 _ROW_BYTES = 64
 
@@ -54,11 +54,13 @@ def join_rows(large: DataFrame, small: DataFrame, on: list[str], how: str) -> Da
     small = stage(small, "side")
     parts: list[Column] = [F.lit(_ROW_BYTES)]
     for field in small.schema.fields:
-        kind = field.dataType.typeName()
-        if kind in ("string", "binary"):
-            parts.append(F.coalesce(F.octet_length(f"`{field.name}`"), F.lit(0)))
-        elif kind == "array":
-            parts.append(F.coalesce(F.size(f"`{field.name}`") * 16, F.lit(0)))
+        kind, name = field.dataType, F.col(f"`{field.name}`")
+        if kind.typeName() in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(name), F.lit(0)))
+        elif kind.typeName() == "array":
+            inner = getattr(kind.elementType, "fields", None)
+            each = 8 if inner is None else 16 + 8 * len(inner)
+            parts.append(F.coalesce(F.size(name) * each, F.lit(0)))
         else:
             parts.append(F.lit(8))
     width = parts[0]

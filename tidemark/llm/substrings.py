@@ -33,6 +33,7 @@ SEED_WORDS = 8
 BUCKET_STRINGS = 1 << 16
 
 _KMERS = "mini long, _id long, _row long, start int, n int"
+#: Occurrences have no ``packed``; strings, one of each per batch, have no ``_row``.
 _PIECES = "mini long, sig long, _id long, _row long, start int, packed binary"
 _FIRSTS = "mini long, sig long, firsts array<long>"
 _KEPT = "_id long, _row long, n_words long, n_removed long, kept_text string, kept_sha256 string"
@@ -65,39 +66,38 @@ def _kmers(width: int, seed: int):
 
 
 def _pieces(width: int):
+    schema = pa.schema(
+        [
+            ("mini", pa.int64()),
+            ("sig", pa.int64()),
+            ("_id", pa.int64()),
+            ("_row", pa.int64()),
+            ("start", pa.int32()),
+            ("packed", pa.binary()),
+        ]
+    )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            out: dict[str, list] = {
-                name: [] for name in ("mini", "sig", "_id", "_row", "start", "packed")
-            }
+            rows: list[tuple] = []
+            strings: dict[tuple[int, bytes], tuple[int, int]] = {}
             for row in range(batch.num_rows):
                 one = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
-                words = split(one["_text"])
-                for part in one["parts"]:
-                    start = part["start"]
-                    packed = b" ".join(words[start : start + part["n"] + width - 1])
-                    out["mini"].append(part["mini"])
-                    out["sig"].append(
-                        xxhash.xxh3_64_intdigest(packed) - (1 << 63)
-                    )
-                    out["_id"].append(one["_id"])
-                    out["_row"].append(one["_row"])
-                    out["start"].append(start)
-                    out["packed"].append(packed)
-            yield pa.RecordBatch.from_pydict(
-                out,
-                schema=pa.schema(
-                    [
-                        ("mini", pa.int64()),
-                        ("sig", pa.int64()),
-                        ("_id", pa.int64()),
-                        ("_row", pa.int64()),
-                        ("start", pa.int32()),
-                        ("packed", pa.binary()),
-                    ]
-                ),
+                words, doc = split(one["_text"]), one["_id"]
+                for mini, span in zip(one["minis"], one["spans"]):
+                    start, n = span >> 32, span & 0xFFFFFFFF
+                    packed = b" ".join(words[start : start + n + width - 1])
+                    sig = xxhash.xxh3_64_intdigest(packed) - (1 << 63)
+                    rows.append((mini, sig, doc, one["_row"], start, None))
+                    _, least = strings.get((mini, packed), (sig, doc))
+                    strings[mini, packed] = sig, min(least, doc)
+            rows += [(m, sig, doc, None, None, p) for (m, p), (sig, doc) in strings.items()]
+            columns = list(zip(*rows)) or [()] * len(schema)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values, field.type) for values, field in zip(columns, schema)],
+                schema=schema,
             )
 
     return run
@@ -177,11 +177,11 @@ def _dealt(width: int):
 
 
 def kept_words(words: list[bytes], hits: list[int], width: int) -> list[bytes]:
-    """The words that no window starting at ``hits`` covers."""
+    """The words that no window of the ranges ``hits`` covers."""
     change = np.zeros(len(words) + 1, np.int64)
-    at = np.unique(np.asarray(hits, np.int64))
-    np.add.at(change, at, 1)
-    np.add.at(change, at + width, -1)
+    ranges = np.asarray(hits, np.int64)
+    np.add.at(change, ranges >> 32, 1)
+    np.add.at(change, (ranges & 0xFFFFFFFF) + width, -1)
     return [words[i] for i in np.flatnonzero(np.cumsum(change[:-1]) == 0).tolist()]
 
 
@@ -224,10 +224,10 @@ def _apply(width: int):
 def window_hits(
     docs: DataFrame, width: int, seed: int, bucket_strings: int = BUCKET_STRINGS
 ) -> DataFrame:
-    """``_id, _row, hits``: starts of the windows that a smaller id also holds.
+    """``_id, _row, hits``: the windows that a smaller id also holds.
 
-    ``docs`` has ``_id``, ``_row`` and ``_text``; rows without such a window are
-    absent.
+    ``hits`` are ranges of windows, first and last in one number.  ``docs`` has
+    ``_id``, ``_row`` and ``_text``; rows without such a window are absent.
     """
     kmers = stage(docs.mapInArrow(_kmers(width, seed), _KMERS), "kmers")
     shared = (
@@ -239,31 +239,33 @@ def window_hits(
     wanted = (
         kmers.join(shared, "mini")
         .groupBy("_id", "_row")
-        .agg(F.collect_set(F.struct("mini", "start", "n")).alias("parts"))
+        .agg(F.collect_set(F.struct("mini", _pair(F.col("start"), F.col("n")).alias("span"))).alias("p"))
+        .select("_id", "_row", F.col("p.mini").alias("minis"), F.col("p.span").alias("spans"))
     )
     pieces = stage(
         join_rows(docs, wanted, ["_id", "_row"], "inner")
-        .dropDuplicates(["_id", "_row"])
-        .select("_id", "_row", "_text", "parts")
+        .select("_id", "_row", "_text", "minis", "spans")
         .mapInArrow(_pieces(width), _PIECES),
         "pieces",
     )
-    strings = pieces.groupBy("mini", "sig", "packed").agg(F.min("_id").alias("_id"))
-    strings = stage(strings, "strings")
+    sizes = pieces.where("packed is not null").groupBy("mini")
     hot = stage(
-        strings.groupBy("mini").agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > bucket_strings).select("mini"),
+        sizes.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_strings).select("mini"),
         "hot",
     )
     some_hot = bool(hot.take(1))
-    cold = strings.join(hot, "mini", "left_anti") if some_hot else strings
+    cold = pieces.where("packed is not null")
+    if some_hot:
+        cold = join_rows(cold, hot, ["mini"], "left_anti")
     firsts = (
-        cold.repartition("mini")
+        _folded(cold)
         .sortWithinPartitions("mini")
+        .select("mini", "sig", "_id", "packed")
         .mapInArrow(_bucket(width), _FIRSTS)
     )
     if some_hot:
-        dealt = strings.join(hot, "mini", "left_semi").mapInArrow(
+        many = join_rows(pieces.where("packed is not null"), hot, ["mini"], "left_semi")
+        dealt = _folded(many).select("mini", "sig", "_id", "packed").mapInArrow(
             _dealt(width), "mini long, sig long, _id long, at int, window binary"
         )
         dealt = stage(dealt, "dealt")
@@ -274,17 +276,54 @@ def window_hits(
             .agg(F.array_sort(F.collect_list(F.struct("at", "first"))).alias("all"))
             .select("mini", "sig", F.col("all.first").alias("firsts"))
         )
-    place = F.filter(
-        F.transform("firsts", lambda first, at: F.when(first < F.col("_id"), F.col("start") + at)),
-        lambda at: at.isNotNull(),
+    hit = lambda at: F.coalesce(F.get("firsts", at) < F.col("_id"), F.lit(False))
+    every = F.sequence(F.lit(0), F.size("firsts") - 1)
+    runs = F.zip_with(
+        F.filter(every, lambda at: hit(at) & ~hit(at - 1)),
+        F.filter(every, lambda at: hit(at) & ~hit(at + 1)),
+        lambda first, last: F.struct(
+            (F.col("start") + first).alias("a"), (F.col("start") + last).alias("b")
+        ),
     )
-    return (
-        pieces.drop("packed")
+    found = (
+        pieces.where("packed is null")
+        .select("mini", "sig", "_id", "_row", "start")
         .join(firsts, ["mini", "sig"])
-        .select("_id", "_row", place.alias("at"))
-        .where(F.size("at") > 0)
+        .select("_id", "_row", runs.alias("runs"))
         .groupBy("_id", "_row")
-        .agg(F.flatten(F.collect_list("at")).alias("hits"))
+        .agg(F.array_sort(F.flatten(F.collect_list("runs"))).alias("r"))
+        .where(F.size("r") > 0)
+    )
+    # Runs of neighbouring pieces become one; those of repeated rows are equal.
+    apart = lambda x, y: y["a"] > x["b"] + 1
+    begins = F.transform(
+        "r",
+        lambda x, i: F.when((i == 0) | apart(F.get("r", i - 1), x), x["a"]),
+    )
+    ends = F.transform(
+        "r",
+        lambda x, i: F.when((i == F.size("r") - 1) | apart(x, F.get("r", i + 1)), x["b"]),
+    )
+    present = lambda x: x.isNotNull()
+    merged = F.zip_with(F.filter(begins, present), F.filter(ends, present), _pair)
+    return found.select("_id", "_row", merged.alias("hits"))
+
+
+def _pair(high, low):
+    """Two counts in one number."""
+    return F.shiftleft(high.cast("long"), 32).bitwiseOR(low.cast("long"))
+
+
+def _folded(strings: DataFrame) -> DataFrame:
+    """Each string once with its least document; those of a minimiser in one partition.
+
+    A task has folded its own copies before, so each adds a row at most.
+    """
+    return (
+        strings.select("mini", "sig", "packed", "_id")
+        .repartition("mini")
+        .groupBy("mini", "sig", "packed")
+        .agg(F.min("_id").alias("_id"))
     )
 
 
