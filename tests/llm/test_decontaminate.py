@@ -82,3 +82,42 @@ def test_the_index_reaches_all_fingerprints_of_the_radius():
 def test_no_python_in_the_plan(spark):
     plan = op5_decontamination(spark, SF_DIR)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def exact(docs, items, similarity=0.8):
+    """As :func:`brute`, and a document shorter than an item is compared as a whole."""
+    found = brute(docs, items, similarity)
+    cut = lambda text: Counter(zip(*[text.lower().split()[k:] for k in range(5)]))
+    own = {i: cut(t) for i, t in items}
+    held = Counter(part for parts in own.values() for part in parts)
+    weight = lambda part: 1 if held[part] > 1 else 2
+    for doc, text in docs:
+        window = cut(text)
+        for item, parts in own.items():
+            if sum(window.values()) < sum(parts.values()):
+                low = sum(weight(p) * n for p, n in (window & parts).items())
+                high = sum(weight(p) * n for p, n in (window | parts).items())
+                if low and low >= similarity * high:
+                    found.add((doc, item))
+    return found
+
+
+def both_ways(spark, docs, items):
+    frames = (spark.createDataFrame(docs, "doc_id long, text string"),
+              spark.createDataFrame(items, "item_id long, text string"))
+    got = decontaminate.contaminated(*frames).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == exact(docs, items)
+    clean = {r.doc_id for r in decontaminate.keep_clean(*frames).collect()}
+    assert clean == {d for d, _ in docs} - {r.doc_id for r in got}
+    return {(r.doc_id, r.item_id): r for r in got}
+
+
+def test_documents_shorter_than_an_item_are_one_window(spark, planted):
+    docs, items = planted
+    words = items[0][1].split()
+    docs = [*docs, (100, " ".join(words[1:])), (101, " ".join(words[:-1])), (102, " ".join(words[:33])),
+            (103, " ".join(words[:32])), (104, " ".join(words[:4])), (105, " ".join(words[:20] + words[22:]))]
+    got = both_ways(spark, docs, items)
+    assert {(10 * i + 4, i) for i in range(6)} <= set(got) and {(100, 0), (101, 90), (102, 0)} <= set(got)
+    assert not {103, 104} & {doc for doc, _ in got}
+    assert (got[100, 0].start, got[100, 0].n_words) == (0, 39) and got[100, 0].similarity == 35 / 36

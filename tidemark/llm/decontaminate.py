@@ -1,7 +1,8 @@
 """Benchmark decontamination by fingerprints of item-sized windows.
 
 Columns only; no Python runs on rows.  A window of a document has as many words
-as a benchmark item; its shingles are its runs of five lower-cased words.
+as a benchmark item; its shingles are its runs of five lower-cased words.  A
+document shorter than an item has one window for it, the whole document.
 
 1. Shingles of all documents are met with those of the items.  A window at
    least 0.8 similar to an item of its size has at least three fifths of its
@@ -150,7 +151,8 @@ def _windows(hits: DataFrame) -> DataFrame:
         F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("known"),
         F.lead("s").over(order).alias("next"),
     )
-    last = F.least(F.col("next") - 1, F.col("_n") - F.col("size"))
+    # A document shorter than the item is one window, from its first word.
+    last = F.least(F.col("next") - 1, F.greatest(F.col("_n") - F.col("size"), F.lit(0)))
     return counted.where(
         (F.col("known") >= LEAST_KNOWN * (F.col("size") - (SHINGLE - 1))) & (last >= F.col("s"))
     ).select("_row", "size", F.explode_outer(F.sequence("s", last)).alias("start"))
@@ -179,7 +181,9 @@ def matches(
     everywhere = shingle_hashes(rows, F.col("_text"), ["_row"]).select(
         "_row", "_n", F.posexplode_outer("_g").alias("pos", "_g")
     )
-    hits = join_rows(everywhere, known, ["_g"], "inner").where("_n >= size")
+    # Shorter documents count as long as they have shingles enough for step 1.
+    enough = F.col("_n") - (SHINGLE - 1) >= LEAST_KNOWN * (F.col("size") - (SHINGLE - 1))
+    hits = join_rows(everywhere, known, ["_g"], "inner").where(enough)
     hits = stage(hits.select("_row", "_n", "size", "pos").distinct(), "hits")
     places = stage(_windows(hits), "windows")
     texts = join_rows(rows, places.select("_row").distinct(), ["_row"], "inner")
@@ -187,7 +191,8 @@ def matches(
     cut = F.slice("_g", F.col("start") + 1, F.col("size") - (SHINGLE - 1))
     windows = stage(
         places.join(texts, "_row").select("_row", "size", "start", cut.alias("_g"))
-        .withColumn("window", F.xxhash64("size", "_g")),
+        .withColumn("window", F.xxhash64("size", "_g"))
+        .withColumn("n_words", F.size("_g") + (SHINGLE - 1)),
         "cut",
     )
     distinct = windows.select("window", "size", "_g").dropDuplicates(["window"])
@@ -253,9 +258,9 @@ def matches(
         .where(F.col("similarity") >= similarity)
         .select("window", "item", "similarity")
     )
-    best = F.struct(F.col("similarity"), (-F.col("start")).alias("back"), "size")
+    best = F.struct(F.col("similarity"), (-F.col("start")).alias("back"), "n_words")
     found = (
-        windows.select("_row", "window", "size", "start")
+        windows.select("_row", "window", "n_words", "start")
         .join(alike, "window")
         .groupBy("_row", "item")
         .agg(F.max(best).alias("best"))
@@ -265,7 +270,7 @@ def matches(
         "item",
         F.col("best.similarity").alias("similarity"),
         (-F.col("best.back")).alias("start"),
-        F.col("best.size").alias("n_words"),
+        F.col("best.n_words").alias("n_words"),
     )
 
 
@@ -280,7 +285,8 @@ def contaminated(
 ) -> DataFrame:
     """``id_col, item_col, similarity, start, n_words`` for each leak found.
 
-    ``start`` counts words from zero.  Texts without a leak have no row; rows
+    ``start`` counts words from zero; ``n_words`` are the window's, fewer than the
+    item's where the whole document is shorter than the item.  Texts without a leak have no row; rows
     with equal texts have equal leaks, whatever their ids (null ids included).
     Null and empty texts leak nothing; null items, and items of fewer than five
     words, are not looked for.  Equal items are each reported.  Other columns
