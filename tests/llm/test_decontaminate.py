@@ -121,3 +121,19 @@ def test_documents_shorter_than_an_item_are_one_window(spark, planted):
     assert {(10 * i + 4, i) for i in range(6)} <= set(got) and {(100, 0), (101, 90), (102, 0)} <= set(got)
     assert not {103, 104} & {doc for doc, _ in got}
     assert (got[100, 0].start, got[100, 0].n_words) == (0, 39) and got[100, 0].similarity == 35 / 36
+
+
+def test_edited_copies_near_the_limit_are_all_found(spark):
+    """One to five of an item's shingles changed, for items stored twice and for templated items."""
+    items, docs = [], []
+    for n, length in enumerate([17, 56, 43] * 20):
+        words = [f"n{n}w{k}" for k in range(length)]
+        if n % 3 == 2:
+            words[:20] = [f"template{k}" for k in range(20)]
+        items += [(2 * n, " ".join(words))] + ([(2 * n + 1, " ".join(words))] if n % 3 < 2 else [])
+        for changed in range(1, 6):
+            # The word so far from the end is in that many shingles.
+            new = words[:-changed] + [f"n{n}c{changed}"] + words[len(words) - changed + 1 :]
+            docs.append((100 * n + changed, " ".join(["before"] * 9 + new + ["after"] * 9)))
+    found = both_ways(spark, docs, items)
+    assert sum(r.similarity < 0.86 for r in found.values()) >= 100

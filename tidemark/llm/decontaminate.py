@@ -1,4 +1,4 @@
-"""Benchmark decontamination by fingerprints of item-sized windows.
+"""Benchmark decontamination by shared shingles of item-sized windows.
 
 Columns only; no Python runs on rows.  A window of a document has as many words
 as a benchmark item; its shingles are its runs of five lower-cased words.  A
@@ -7,20 +7,20 @@ document shorter than an item has one window for it, the whole document.
 1. Shingles of all documents are met with those of the items.  A window at
    least 0.8 similar to an item of its size has at least three fifths of its
    shingles among those of items of that size (weights lie between 1 and 2), so
-   the other windows need no fingerprint.
-2. Each remaining window, once per content, gets a weighted SimHash of 64 bits.
-3. Fingerprints are four blocks of 16 bits.  Two within 15 bits differ in at
-   most three bits in some block, so an index of the items' blocks with all
-   changes of up to three bits finds every such item.
-4. The weighted similarity of window and item decides.
-
+   the others need no comparison.
+2. Each remaining window, once per content, meets the items that share shingles
+   with it; the shared weight is summed over them.
+3. A pair whose shared weight is under 0.8 of the item's can't be similar; the
+   weighted similarity of window and item decides the others.
+
+No step loses a similar window.  A fingerprint of fixed length would: at a
+similarity of 0.8 the share of bits that differ has no bound that an index of a
+few changed bits reaches.
 Shingles are compared by a 64-bit hash.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.frames import join_rows, without
@@ -29,16 +29,10 @@ from tidemark.session import stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 15
-BLOCKS = 4
-BLOCK_BITS = 16
 #: A shingle of one item or of none counts twice as much as a shared one.
 COMMON, RARE = 1, 2
 #: Of a window's shingles, how many must be known: see step 1.
 LEAST_KNOWN = 0.6
-#: Counters are packed three to a long, 21 bits each.
-_LANES, _LANE_BITS = 3, 21
-_LONGS = -(-BLOCKS * BLOCK_BITS // _LANES)
 
 
 def shingle_hashes(rows: DataFrame, text: Column, keep: list[str]) -> DataFrame:
@@ -71,44 +65,8 @@ def shingle_hashes(rows: DataFrame, text: Column, keep: list[str]) -> DataFrame:
     )
 
 
-def _fingerprints(shingles: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys``, ``weight`` and the blocks ``b0..`` from rows of ``_g``, ``_c`` times ``_w``."""
-    bit = lambda at: F.shiftrightunsigned("_g", at).bitwiseAND(F.lit(1))
-    sums = []
-    for k in range(_LONGS):
-        value = None
-        for lane in range(_LANES):
-            at = k * _LANES + lane
-            if at < BLOCKS * BLOCK_BITS:
-                part = F.shiftleft(bit(at) * F.col("_c") * F.col("_w"), lane * _LANE_BITS)
-                value = part if value is None else value + part
-        sums.append(F.sum(value).alias(f"_s{k}"))
-    total = shingles.groupBy(*keys).agg(F.sum(F.col("_c") * F.col("_w")).alias("weight"), *sums)
-    blocks = []
-    for block in range(BLOCKS):
-        value = F.lit(0)
-        for t in range(BLOCK_BITS):
-            k, lane = divmod(block * BLOCK_BITS + t, _LANES)
-            count = F.shiftrightunsigned(f"_s{k}", lane * _LANE_BITS).bitwiseAND(
-                F.lit((1 << _LANE_BITS) - 1)
-            )
-            value = value + F.when(2 * count > F.col("weight"), 1 << t).otherwise(0)
-        blocks.append(value.cast("int").alias(f"b{block}"))
-    return total.select(*keys, "weight", *blocks)
-
-
-def _flips() -> list[int]:
-    """All changes of a block that some block of two fingerprints in the radius shows at most."""
-    most = RADIUS // BLOCKS
-    return [
-        sum(1 << bit for bit in bits)
-        for n in range(most + 1)
-        for bits in combinations(range(BLOCK_BITS), n)
-    ]
-
-
-def _items(benchmark: DataFrame, item_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Items with fingerprints, and their shingles with count and weight."""
+def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """The items' shingles with count and weight, and each item's weight."""
     hashed = shingle_hashes(
         benchmark.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{text_col}`").alias("_text")),
         F.col("_text"),
@@ -120,8 +78,9 @@ def _items(benchmark: DataFrame, item_col: str, text_col: str) -> tuple[DataFram
     counts = rows.groupBy("item", "size", "_g").agg(F.count(F.lit(1)).alias("_c"))
     spread = counts.groupBy("_g").agg(F.countDistinct("item").alias("n"))
     weights = spread.select("_g", F.when(F.col("n") > 1, COMMON).otherwise(RARE).alias("_w"))
-    shingles = stage(counts.join(weights, "_g"), "item-shingles")
-    return stage(_fingerprints(shingles, ["item", "size"]), "items"), shingles
+    weighted = stage(counts.join(weights, "_g"), "item-weights")
+    totals = weighted.groupBy("item", "size").agg(F.sum(F.col("_c") * F.col("_w")).alias("item_weight"))
+    return stage(weighted.join(totals, ["item", "size"]), "item-shingles")
 
 
 def _windows(hits: DataFrame) -> DataFrame:
@@ -173,7 +132,7 @@ def matches(
     """
     if similarity < SIMILARITY:
         raise ValueError(f"windows are searched for similarities of {SIMILARITY} and more")
-    items, item_shingles = _items(benchmark, item_col, item_text_col)
+    item_shingles = _items(benchmark, item_col, item_text_col)
     known = item_shingles.select("_g", "size").distinct()
     rows = docs.select(
         F.xxhash64(F.col(f"`{text_col}`")).alias("_row"), F.col(f"`{text_col}`").alias("_text")
@@ -205,52 +164,15 @@ def matches(
         join_rows(counts, weights, ["_g"], "left").withColumn("_w", F.coalesce("_w", F.lit(RARE))),
         "window-shingles",
     )
-    prints = stage(_fingerprints(weighted, ["window", "size"]), "window-prints")
-
-    def in_blocks(frame: DataFrame, changes: list[int]) -> DataFrame:
-        return frame.withColumn(
-            "_k",
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(F.lit(b).alias("block"), F.col(f"b{b}").alias("value"))
-                        for b in range(BLOCKS)
-                    ]
-                )
-            ),
-        ).select(
-            *frame.columns,
-            F.col("_k.block").alias("block"),
-            F.explode(
-                F.transform(
-                    F.array(*[F.lit(x) for x in changes]),
-                    lambda x: F.col("_k.value").bitwiseXOR(x),
-                )
-            ).alias("value"),
-        )
-
-    index = in_blocks(
-        items.select("item", "size", F.col("weight").alias("item_weight"), *[
-            F.col(f"b{b}") for b in range(BLOCKS)
-        ]),
-        _flips(),
-    ).withColumnsRenamed({f"b{b}": f"i{b}" for b in range(BLOCKS)})
-    apart = sum(
-        (F.bit_count(F.col(f"b{b}").bitwiseXOR(F.col(f"i{b}"))) for b in range(1, BLOCKS)),
-        F.bit_count(F.col("b0").bitwiseXOR(F.col("i0"))),
-    )
-    close = (
-        in_blocks(prints, [0]).join(index.hint("merge"), ["size", "block", "value"])
-        .where(apart <= RADIUS)
-        .select("window", "item", "weight", "item_weight").distinct()
-    )
+    totals = weighted.groupBy("window").agg(F.sum(F.col("_c") * F.col("_w")).alias("weight"))
     shared = (
-        weighted.join(item_shingles.select("item", "size", "_g", F.col("_c").alias("_ic")), ["size", "_g"])
-        .groupBy("window", "item")
+        weighted.join(item_shingles.select("item", "size", "_g", "item_weight", F.col("_c").alias("_ic")), ["size", "_g"])
+        .groupBy("window", "item", "item_weight")
         .agg(F.sum(F.col("_w") * F.least("_c", "_ic")).alias("shared"))
+        .where(F.col("shared") / F.col("item_weight") >= similarity)
     )
     alike = (
-        close.join(shared, ["window", "item"])
+        shared.join(totals, "window")
         .withColumn(
             "similarity",
             F.col("shared") / (F.col("weight") + F.col("item_weight") - F.col("shared")),
