@@ -58,3 +58,26 @@ def test_subtrees_on_most_pages_of_a_host_go(spark):
     got = {r.page_id: r.text for r in pages.extract(made).collect()}
     assert got[4] == "Text many.example 4\n1 rare"
     assert got[102] == "Same line\nText few.example 2\nStay\n2 rare"
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    copy = "<ul><li>Menu {}</li></ul><article><h1>Title</h1><p>The article that is kept.</p></article>"
+    rows = [(i, url, copy.format(i)) for i in range(15) for url in ("http://copies.example/a", None)]
+    rows += [(50 + i, "http://copies.example/b", f"<article><p>Another {i}</p></article>") for i in range(12)]
+    made = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {(r.page_id, r.url): r.text for r in pages.extract(made).collect()}
+    assert len(got) == len(rows) and got[61, "http://copies.example/b"] == "Another 11"
+    assert {got[i, u] for i, u, _ in rows if i < 15} == {"Title\nThe article that is kept."}
+
+
+def test_parts_on_many_pages_of_a_large_host_go(spark):
+    promo = "<div class=x>Our great offer of this week</div>"
+    rows = [
+        (i, "http://large.example", f"<p>Text {i} of its own</p><h2>Heading of some five words</h2>" + promo * (i % 10 < 3))
+        for i in range(400)
+    ]
+    made = spark.createDataFrame([(i, u, h if i % 10 < 3 else h.replace("<h2>", f"<h2>{i} ")) for i, u, h in rows],
+                                 "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract(made).collect()}
+    assert got[2] == "Text 2 of its own\nHeading of some five words"
+    assert got[5] == "Text 5 of its own\n5 Heading of some five words"

@@ -2,8 +2,10 @@
 
 A page is read into a small tree.  Each element with text below the body has a
 hash of its subtree (names, classes, text).  Spark counts on how many pages of a
-host a subtree occurs; subtrees on at least ``LEAST_PAGES`` pages and more than
-``TEMPLATE_SHARE`` of the host's pages are its template and are deleted.  What
+host a subtree occurs, pages of one main text counting once; subtrees on at least
+``LEAST_PAGES`` pages and more than ``TEMPLATE_SHARE`` of the host's pages are its
+template and are deleted, and so are whole parts (:data:`PARTS`) on at least
+``MANY_PAGES`` and more than ``MANY_SHARE``.  What
 by its element, role or class is navigation, a header, footer, sidebar, notice,
 advert, form, script, style or comment section goes as well, since a menu may
 differ on each page.  The text is then that of the article (or main part, or
@@ -21,10 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.frames import join_rows
+from tidemark.session import stage
 
 #: A subtree of a template occurs on so many pages of a host and on more than this share.
 LEAST_PAGES = 10
 TEMPLATE_SHARE = 0.5
+#: On a large host a part of so many words is template on so many pages and more than this share.
+MANY_PAGES = 100
+MANY_SHARE = 0.1
+PART_WORDS = 5
 SLICE_ROWS = 128
 
 #: Fixed values of HTML: elements by what they do.
@@ -35,6 +42,11 @@ BLOCKS = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav "
     "ol p pre search section summary table tbody td tfoot th thead tr ul caption".split()
 )
+#: Elements that may be a menu, promo or notice as a whole; cells, items and headings may not.
+PARTS = frozenset(
+    "address article aside blockquote center details dir div dl fieldset figure footer form header "
+    "hgroup menu nav ol p section table ul".split()
+)
 #: A start tag of the second column ends an open element of the first.
 CLOSES_PARAGRAPH = BLOCKS - frozenset("body html caption tbody td tfoot th thead tr li dd dt legend".split())
 CLOSED_BY = {
@@ -172,11 +184,12 @@ def _close(stack: list[Element], name: str) -> None:
             return
 
 
-def subtrees(root: Element) -> set[int]:
-    """Hashes of the subtrees with text; each element bears its own."""
+def subtrees(root: Element) -> dict[int, bool]:
+    """Hashes of the subtrees with text, and whether each is a part; each element bears its own."""
     import xxhash
 
-    found: set[int] = set()
+    found: dict[int, bool] = {}
+    words: dict[int, int] = {}
     # Children before parents, without recursion: pages may nest deeply.
     order, todo = [], [root]
     while todo:
@@ -184,19 +197,22 @@ def subtrees(root: Element) -> set[int]:
         order.append(element)
         todo.extend(c for c in element.children if not isinstance(c, str))
     for element in reversed(order):
-        parts = []
+        parts, n = [], 0
         for child in element.children:
             if isinstance(child, str):
                 text = _SPACE.sub(" ", child).strip()
                 if text:
                     parts.append(text)
+                    n += text.count(" ") + 1
             elif child.key:
                 parts.append(f"\x00{child.key}")
+                n += words[child.key]
         if parts:
             packed = "\x01".join([element.name, element.label, *parts])
             element.key = xxhash.xxh3_64_intdigest(packed.encode("utf-8", "surrogatepass")) - (1 << 63)
+            words[element.key] = n
             if element is not root:
-                found.add(element.key)
+                found[element.key] = n >= PART_WORDS and element.name in PARTS
     return found
 
 
@@ -257,11 +273,15 @@ def text_blocks(top: Element, template: frozenset[int] | set[int]) -> list[str]:
     return blocks
 
 
+def page_text(root: Element, template: frozenset[int] | set[int] = frozenset()) -> str:
+    return "\n".join(text_blocks(article(root), template))
+
+
 def main_text(html: str, template: frozenset[int] | set[int] = frozenset()) -> str:
     root = parse(html)
     if template:
         subtrees(root)
-    return "\n".join(text_blocks(article(root), template))
+    return page_text(root, template)
 
 
 def _host(url):
@@ -271,16 +291,29 @@ def _host(url):
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The subtrees of each page, and key 0 for the page; ``page`` is the hash of its main text."""
+    import xxhash
+
     for whole in batches:
         for begin in range(0, whole.num_rows, SLICE_ROWS):
             batch = whole.slice(begin, SLICE_ROWS)
-            hosts, keys = [], []
+            hosts, keys, parts, pages = [], [], [], []
             for host, html in zip(batch.column("_host").to_pylist(), batch.column("_html")):
-                found = sorted(subtrees(parse(html.as_py() or "")))
-                hosts += [host] * len(found)
-                keys += found
+                root = parse(html.as_py() or "")
+                found = subtrees(root)
+                text = page_text(root).encode("utf-8", "surrogatepass")
+                hosts += [host] * (len(found) + 1)
+                keys += [0, *found]
+                parts += [False, *found.values()]
+                pages += [xxhash.xxh3_64_intdigest(text) - (1 << 63)] * (len(found) + 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(keys, pa.int64())], names=["_host", "key"]
+                [
+                    pa.array(hosts, pa.string()),
+                    pa.array(keys, pa.int64()),
+                    pa.array(parts, pa.bool_()),
+                    pa.array(pages, pa.int64()),
+                ],
+                names=["_host", "key", "part", "page"],
             )
 
 
@@ -306,20 +339,22 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def templates(pages: DataFrame, least_pages: int, share: float) -> DataFrame:
     """``_host, keys``: the subtrees of each host's template.
 
-    A subtree is on more than ``share`` of the pages, so a host has at most
-    1 / ``share`` times as many as an average page has elements.
+    Copies of a page count once.  A subtree is on more than ``MANY_SHARE`` of the
+    pages, so a host has at most 1 / ``MANY_SHARE`` times as many as an average
+    page has elements.
     """
-    sizes = pages.groupBy("_host").agg(F.count(F.lit(1)).alias("pages")).where(
-        F.col("pages") >= least_pages
-    )
     counts = (
-        pages.mapInArrow(_count, "_host string, key long")
-        .groupBy("_host", "key").agg(F.count(F.lit(1)).alias("n"))
+        pages.mapInArrow(_count, "_host string, key long, part boolean, page long")
+        .groupBy("_host", "key", "page").agg(F.max("part").alias("part"))
+        .groupBy("_host", "key").agg(F.count(F.lit(1)).alias("n"), F.max("part").alias("part"))
         .where(F.col("n") >= least_pages)
     )
+    counts = stage(counts, "subtrees")
+    sizes = counts.where("key = 0").select("_host", F.col("n").alias("pages"))
+    many = F.col("part") & (F.col("n") >= MANY_PAGES) & (F.col("n") > MANY_SHARE * F.col("pages"))
     return (
-        join_rows(counts, sizes, ["_host"], "inner")
-        .where(F.col("n") > share * F.col("pages"))
+        join_rows(counts.where("key <> 0"), sizes, ["_host"], "inner")
+        .where((F.col("n") > share * F.col("pages")) | many)
         .groupBy("_host").agg(F.collect_list("key").alias("keys"))
     )
 
@@ -335,7 +370,8 @@ def extract(
     """``id_col, url_col, text, n_chars`` for every page.
 
     Null and empty pages have an empty text; pages whose address is null or has
-    no host form one host.  A page that repeats another counts by itself.
+    no host form one host.  Pages of one main text have each their row
+    and count once for the template.
     Truncated and badly nested pages give what can be read.  Other columns don't
     matter.  An empty table gives an empty result.
     """
