@@ -81,3 +81,22 @@ def test_parts_on_many_pages_of_a_large_host_go(spark):
     got = {r.page_id: r.text for r in pages.extract(made).collect()}
     assert got[2] == "Text 2 of its own\nHeading of some five words"
     assert got[5] == "Text 5 of its own\n5 Heading of some five words"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article class='post tag-social'><p>a</article>", "a"),
+        ("<main class=with-sidebar><p>a</main>", "a"),
+        ("<div class='content no-sidebar'><p>a</div>", "a"),
+        ("<div class=widget><p>most of the text</div><p>b", "most of the text\nb"),
+        ("<article><h2 id=related-work>R</h2><section id=notice-period>n</section><p id=comment-1>c</article>", "R\nn\nc"),
+        ("<article class=promo><h1 class=social>T</h1><p>a</article>", "T\na"),
+        ("<div><p>the whole text of the page</p></div><article>teaser</article>", "the whole text of the page\nteaser"),
+        ("<article><p>first</article><div class=ad>x</div><article><p>second one</article>", "first\nsecond one"),
+        ("<article><p>a</article><div class=comments>many comments, more than text</div>", "a"),
+        ("<p>text<div class='widget-area site-footer'>w</div><div class=left-sidebar>s</div>", "text"),
+    ],
+)
+def test_only_whole_names_drop_and_never_most_of_a_page(page, text):
+    assert pages.main_text(page) == text

@@ -8,8 +8,9 @@ template and are deleted, and so are whole parts (:data:`PARTS`) on at least
 ``MANY_PAGES`` and more than ``MANY_SHARE``.  What
 by its element, role or class is navigation, a header, footer, sidebar, notice,
 advert, form, script, style or comment section goes as well, since a menu may
-differ on each page.  The text is then that of the article (or main part, or
-body), one line per block.
+differ on each page; classes count as whole names, and never drop an article or
+most of a page.  The text is then that of the main part or the articles, if they
+hold most of the body's, or the body, one line per block.
 """
 
 from __future__ import annotations
@@ -77,6 +78,14 @@ DROPPED_NAMES = frozenset(
     "promotion recommended related reply replies respond share sharing sidebar sidebars signup "
     "skyscraper social sponsor sponsored sponsors subscribe subscription toolbar widget widgets".split()
 )
+#: Words that may stand beside such a word in a class or id, as in ``site-footer``; any other makes it another name.
+BESIDE_NAMES = frozenset(
+    "area bar block bottom box button buttons container global icons inner left links list main page "
+    "primary right secondary section site top user wrap wrapper".split()
+)
+#: Elements that no class or id drops, and those that an id may drop.
+KEPT = frozenset("article main h1 h2 h3 h4 h5 h6".split())
+CONTAINERS = frozenset("div section header footer nav aside ul ol dl table form figure center".split())
 #: The same outside an article, whose own header is part of it.
 PAGE_HEADERS = frozenset("header headers topbar topnav logo".split())
 
@@ -95,16 +104,18 @@ _WORD = re.compile(r"[a-z]+")
 class Element:
     """An element: its name, the words of its class, id and role, its children."""
 
-    __slots__ = ("name", "label", "hidden", "role", "children", "key")
+    __slots__ = ("name", "label", "names", "hidden", "role", "children", "key", "heavy")
 
     def __init__(self, name: str, attrs: str = "") -> None:
         self.name, self.label, self.role, self.hidden, self.key = name, "", "", False, 0
+        self.names, self.heavy = "", False
         self.children: list[Element | str] = []
         if attrs:
             found = {
                 m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attrs)
             }
             self.label = f"{found.get('class', '')} {found.get('id', '')}".strip().lower()
+            self.names = self.label if name in CONTAINERS else found.get("class", "").lower()
             self.role = found.get("role", "").strip().lower()
             self.hidden = found.get("aria-hidden", "").lower() == "true" or bool(
                 re.search(r"(?:^|\s)hidden(?:\s|/|$)", re.sub(r"=\s*(\"[^\"]*\"|'[^']*')", "=", attrs))
@@ -115,12 +126,14 @@ class Element:
             return True
         if self.name == "header" and not in_article:
             return True
-        if not self.label:
+        if not self.names or self.heavy or self.name in KEPT or self.role in ("main", "article"):
             return False
-        words = _WORD.findall(self.label)
-        return not DROPPED_NAMES.isdisjoint(words) or (
-            not in_article and not PAGE_HEADERS.isdisjoint(words)
-        )
+        for token in self.names.split():
+            words = _WORD.findall(token)
+            named = [w for w in words if w in DROPPED_NAMES or not in_article and w in PAGE_HEADERS]
+            if named and all(w in named or w in BESIDE_NAMES for w in words):
+                return True
+        return False
 
 
 def parse(html: str) -> Element:
@@ -216,32 +229,61 @@ def subtrees(root: Element) -> dict[int, bool]:
     return found
 
 
-def article(root: Element) -> Element:
-    """The element that holds the article: the article or main with the most text, or the page."""
-    best, most = root, 0
-    todo = [(root, False)]
+def is_unit(element: Element) -> bool:
+    return element.name in ("article", "main") or element.role in ("main", "article")
+
+
+def weigh(root: Element) -> None:
+    """Mark the elements that hold most of the page's text, unless an article or main stands beside them."""
+    order, todo = [], [root]
     while todo:
-        element, inside = todo.pop()
-        own = element.name in ("article", "main") or element.role in ("main", "article")
-        if own and not inside:
-            length = sum(map(len, text_blocks(element, frozenset())))
-            if length > most:
-                best, most = element, length
+        element = todo.pop()
+        order.append(element)
+        todo.extend(c for c in element.children if not isinstance(c, str))
+    sizes: dict[int, int] = {}
+    units: dict[int, bool] = {}
+    for element in reversed(order):
+        if element.name in DROPPED or element.role in DROPPED_ROLES or element.hidden:
+            sizes[id(element)], units[id(element)] = 0, False
+            continue
+        size, unit = 0, is_unit(element)
+        for child in element.children:
+            if isinstance(child, str):
+                size += len(child.strip())
+            else:
+                size += sizes[id(child)]
+                unit = unit or units[id(child)]
+        sizes[id(element)], units[id(element)] = size, unit
+    top = root
+    while True:
+        inner = [c for c in top.children if not isinstance(c, str)]
+        heavy = next((c for c in inner if 2 * sizes[id(c)] > sizes[id(root)]), None)
+        if heavy is None or any(units[id(c)] for c in inner if c is not heavy):
+            return
+        heavy.heavy = True
+        top = heavy
+
+
+def units_of(root: Element) -> list[Element]:
+    """The articles and mains that lie in no other, in page order."""
+    found, todo = [], [root]
+    while todo:
+        element = todo.pop()
+        if is_unit(element):
+            found.append(element)
+            continue
         todo.extend(
-            (c, inside or own and element.name != "main")
-            for c in element.children
-            if not isinstance(c, str) and not c.dropped(False)
+            c for c in reversed(element.children) if not isinstance(c, str) and not c.dropped(False)
         )
-    return best
+    return found
 
 
 def text_blocks(top: Element, template: frozenset[int] | set[int]) -> list[str]:
     """Text of the blocks in page order, white space folded."""
     blocks: list[str] = []
     run: list[str] = []
-    inside = top.name != "html"
-    # (element, next child): a stack instead of recursion.
-    todo: list[tuple[Element, int]] = [(top, 0)]
+    # (element, next child, in an article): a stack instead of recursion.
+    todo: list[tuple[Element, int, bool]] = [(top, 0, top.name != "html")]
 
     def end() -> None:
         if run:
@@ -251,12 +293,12 @@ def text_blocks(top: Element, template: frozenset[int] | set[int]) -> list[str]:
             run.clear()
 
     while todo:
-        element, at = todo.pop()
+        element, at, inside = todo.pop()
         if at == len(element.children):
             if element.name in BLOCKS:
                 end()
             continue
-        todo.append((element, at + 1))
+        todo.append((element, at + 1, inside))
         child = element.children[at]
         if isinstance(child, str):
             run.append(child)
@@ -268,13 +310,22 @@ def text_blocks(top: Element, template: frozenset[int] | set[int]) -> list[str]:
         else:
             if child.name in BLOCKS:
                 end()
-            todo.append((child, 0))
+            todo.append((child, 0, inside or is_unit(child)))
     end()
     return blocks
 
 
 def page_text(root: Element, template: frozenset[int] | set[int] = frozenset()) -> str:
-    return "\n".join(text_blocks(article(root), template))
+    """The text of the mains, or else of all articles and mains, that hold most of the body's; or the body's."""
+    weigh(root)
+    whole = text_blocks(root, template)
+    units = units_of(root)
+    mains = [u for u in units if u.name == "main" or u.role == "main"]
+    for chosen in (mains, units):
+        blocks = [block for unit in chosen for block in text_blocks(unit, template)]
+        if 2 * sum(map(len, blocks)) > sum(map(len, whole)):
+            return "\n".join(blocks)
+    return "\n".join(whole)
 
 
 def main_text(html: str, template: frozenset[int] | set[int] = frozenset()) -> str:
