@@ -41,3 +41,21 @@ def test_lines_keep_their_features_apart():
     assert sizes.tolist() == [3, 0, 1, 5]
     alone = [licences.feature_rows([line])[0] for line in lines]
     assert np.concatenate(alone).tolist() == at.tolist()
+
+
+def test_wrapped_and_embedded_long_notices(model):
+    import textwrap
+
+    import pyarrow as pa
+
+    texts, want = [], []
+    for family, notices in licences.NOTICES.items():
+        for notice in notices:
+            if len(licences.pairs_of(licences.line_words(notice.encode()))) >= 20:
+                head = "plain line of words that say little\n\n"
+                texts += [head + textwrap.fill(notice, 72) + "\n\nplain line", " ".join(
+                    ["words that say little"] * 60 + [notice] + ["plain line of words"] * 60)]
+                want += [(family, 2), (family, 0)]
+    batch = pa.RecordBatch.from_pydict({"_id": list(range(len(texts))), "_text": [t.encode() for t in texts]})
+    got = [r for b in licences._scan(model)([batch]) for r in b.to_pylist() if r["confirmed"]]
+    assert {(r["_id"], r["family"], r["line"]) for r in got} == {(i, *w) for i, w in enumerate(want)} and want

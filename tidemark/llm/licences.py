@@ -7,6 +7,11 @@ is fitted to variations of fixed notices and to a bounded sample of lines from
 the corpus that name no licence; a temperature, fitted on variations left out,
 calibrates its probabilities.  A paragraph of a family must also hold most of
 the word pairs of one of that family's notices; only then is it confirmed.
+
+A long notice may be wrapped over lines or stand within a long one.  Lines without
+a blank one between them are therefore cut into overlapping windows of words as
+well; windows with a word that all long notices share some of (:data:`ANCHORS`)
+are classified like lines and count if they are confirmed by a long notice.
 """
 
 from __future__ import annotations
@@ -32,6 +37,12 @@ LEAST_PROBABILITY = 0.5
 #: Share of a notice's word pairs that a confirmed paragraph holds.
 LEAST_OVERLAP = 0.6
 
+#: Notices of so many word pairs are looked for across lines, in windows of so many words and steps.
+LONG_PAIRS = 10
+WINDOWS = ((20, 6), (40, 12))
+#: Each long notice has one of these words.
+ANCHORS = frozenset(b"license licence licensed permission redistribution copyright reserved".split())
+
 #: Short notices by licence family, as they are commonly worded.
 NOTICES = {
     "apache": [
@@ -237,34 +248,95 @@ def pairs_of(words: list[bytes]) -> set[tuple[bytes, bytes]]:
     return set(zip(plain, plain[1:]))
 
 
+def windows(lines: list[tuple[int, list[bytes]]]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Windows with an anchor: the line of each word, and the words.
+
+    ``lines`` are numbered lines with words; a number left out is a blank line.
+    """
+    begin = 0
+    for at in range(1, len(lines) + 1):
+        if at < len(lines) and lines[at][0] == lines[at - 1][0] + 1:
+            continue
+        paragraph, begin = lines[begin:at], at
+        words = [word for _, line in paragraph for word in line]
+        anchors = [i for i, word in enumerate(words) if word in ANCHORS]
+        if not anchors or len(paragraph) == 1 and len(words) <= WINDOWS[0][0]:
+            continue
+        places = [number for number, line in paragraph for _ in line]
+        for size, step in WINDOWS:
+            starts = {
+                start
+                for i in anchors
+                for start in range(max(0, (i - size) // step + 1) * step, i + 1, step)
+            }
+            for start in sorted(starts):
+                yield places[start : start + size], words[start : start + size]
+
+
+def notice_place(words: list[bytes], notices: list[set]) -> tuple[float, int]:
+    """The largest share of a long notice's word pairs, and the word at which it begins."""
+    plain = [b"0" if word.isdigit() else word for word in words]
+    pairs = list(zip(plain, plain[1:]))
+    best = (0.0, 0)
+    for notice in notices:
+        share = len(notice.intersection(pairs)) / len(notice)
+        if share > best[0] and len(notice) >= LONG_PAIRS:
+            span = len(notice)
+            held = [len(notice.intersection(pairs[o : o + span])) for o in range(len(pairs))]
+            start = held.index(max(held))
+            start += next(k for k, pair in enumerate(pairs[start:]) if pair in notice)
+            best = (share, start)
+    return best
+
+
 def _scan(model: Classifier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, whole.num_rows, 128):
                 batch = whole.slice(begin, 128)
                 owners, numbers, lines = [], [], []
+                wide: list[tuple[int, list[int], list[bytes]]] = []
                 for row, text in enumerate(batch.column("_text")):
+                    first = len(lines)
                     for number, line in enumerate((text.as_py() or b"").split(b"\n")):
                         words = line_words(line)
                         if words:
                             owners.append(row)
                             numbers.append(number)
                             lines.append(words)
-                out: dict[str, list] = {
-                    n: [] for n in ("_id", "line", "family", "probability", "overlap", "confirmed")
-                }
+                    wide += [(row, *w) for w in windows(list(zip(numbers[first:], lines[first:])))]
+                # (row, line, family): probability, overlap
+                found: dict[tuple[int, int, str], tuple[float, float]] = {}
                 if lines:
                     best, chance = model.classify(lines)
                     hit = (best < len(NOTICES)) & (chance >= LEAST_PROBABILITY)
                     for i in np.flatnonzero(hit).tolist():
                         family = model.classes[best[i]]
                         overlap = model.overlap(family, lines[i])
-                        out["_id"].append(batch.column("_id")[owners[i]].as_py())
-                        out["line"].append(numbers[i])
-                        out["family"].append(family)
-                        out["probability"].append(float(chance[i]))
-                        out["overlap"].append(overlap)
-                        out["confirmed"].append(overlap >= LEAST_OVERLAP)
+                        found[owners[i], numbers[i], family] = (float(chance[i]), overlap)
+                if wide:
+                    confirmed = {key for key, (_, share) in found.items() if share >= LEAST_OVERLAP}
+                    best, chance = model.classify([words for _, _, words in wide])
+                    hit = (best < len(NOTICES)) & (chance >= LEAST_PROBABILITY)
+                    for i in np.flatnonzero(hit).tolist():
+                        row, places, words = wide[i]
+                        family = model.classes[best[i]]
+                        overlap, start = notice_place(words, model.notices[family])
+                        if overlap < LEAST_OVERLAP or any((row, n, family) in confirmed for n in places):
+                            continue
+                        key = (row, places[start], family)
+                        if key not in found or found[key][1] < overlap:
+                            found[key] = (float(chance[i]), overlap)
+                out: dict[str, list] = {
+                    n: [] for n in ("_id", "line", "family", "probability", "overlap", "confirmed")
+                }
+                for (row, number, family), (probability, overlap) in sorted(found.items()):
+                    out["_id"].append(batch.column("_id")[row].as_py())
+                    out["line"].append(number)
+                    out["family"].append(family)
+                    out["probability"].append(probability)
+                    out["overlap"].append(overlap)
+                    out["confirmed"].append(overlap >= LEAST_OVERLAP)
                 yield pa.RecordBatch.from_pydict(
                     out,
                     schema=pa.schema(
@@ -308,7 +380,8 @@ def train(rows: DataFrame, sample_lines: int = SAMPLE_LINES) -> Classifier:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, line, family, probability, overlap, confirmed`` for each licence paragraph.
 
-    ``line`` counts lines from zero.  Only paragraphs that the classifier gives
+    ``line`` counts lines from zero; a notice over several lines has the line it
+    begins on.  Only paragraphs that the classifier gives
     to a family with ``LEAST_PROBABILITY`` or more have a row; ``confirmed`` says
     whether the comparison with the notices bears it out.  Null and empty texts
     have none; repeated rows have theirs each; null ids are kept; other columns
