@@ -250,7 +250,8 @@ def _rebaseline(spark, sf_dir):
 
 def folder_listing(spark, sf_dir):
     """Names of the files a chunked export put into a folder."""
-    return files.folder_names(spark, _rebaseline(spark, sf_dir)).orderBy("file_name")
+    names_there = files.folder_names(spark, _rebaseline(spark, sf_dir))
+    return names_there.select("file_name").distinct().orderBy("file_name")
 
 
 def rebaseline_chunks(spark, sf_dir):
