@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    compressed,
     decontaminate,
     language,
     licences,
@@ -76,6 +77,10 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.digests(spark, tokenfiles.write(docs, vocabulary(BYTE_PAIRS)))
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compressed.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -87,6 +92,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_license_scan": op9_license_scan,
     "op10_token_output": op10_token_output,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 SQL: dict[str, str] = {}
