@@ -14,8 +14,10 @@ from tidemark.llm import (
     scoring,
     sentencepieces,
     simhash,
+    spellings,
     substrings,
     tokenfiles,
+    whitening,
 )
 
 #: Where the public vocabulary files lie.
@@ -77,6 +79,14 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.digests(spark, tokenfiles.write(docs, vocabulary(BYTE_PAIRS)))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.variants(table(spark, sf_dir, "documents"), drop_one_in=31)
+
+
 def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compressed.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -92,6 +102,8 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_license_scan": op9_license_scan,
     "op10_token_output": op10_token_output,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_quality_classifier": op13_quality_classifier,
 }
 
