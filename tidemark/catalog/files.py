@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import views
 from tidemark.catalog.views import KEYS, LINE_SQL, RECORDS_SQL
-from tidemark.functions import names
+from tidemark.functions import names, rolling
 from tidemark.functions.dates import flexible_date, import_date
 from tidemark.functions.digest import record_line
 from tidemark.functions.text import is_blank
@@ -179,6 +179,32 @@ def landing_audit(spark, sf_dir):
     )
 
 
+def _spanning(spark, sf_dir):
+    """Extracts in which every fifth record goes on over line ends, one of them empty.
+
+    In source 3 some such records have no date.
+    """
+    rows = views.records(spark, sf_dir)
+    more = F.concat("vaccine_group", F.lit('\nsecond "line" | of\n\nthree'))
+    group = F.when(F.col("event_id") % 5 == 0, more).otherwise(F.col("vaccine_group"))
+    bad = (F.col("id_2") == "S003") & (F.col("event_id") % 95 == 0)
+    date = F.when(bad, F.lit("some\nday")).otherwise(F.col("vaccination_date").cast("string"))
+    path = _write_extracts(spark, sf_dir, rows.withColumn("vaccine_group", group), date)
+    return extracts.read_landing(spark, _glob(path), REGISTRY)
+
+
+def multiline_records(spark, sf_dir):
+    """The distinct records of files whose records go on over line ends."""
+    return extracts.combine(_spanning(spark, sf_dir))
+
+
+def multiline_rejects(spark, sf_dir):
+    """Rejected ones among such files: the first bad record, counted in records."""
+    return _spanning(spark, sf_dir).rejects.select(
+        _file_key("source"), _file_key("part"), "line_no", "reason"
+    )
+
+
 def import_roundtrip(spark, sf_dir):
     """The distinct records as one import file, read back."""
     path = scratch_path(spark, "import")
@@ -221,8 +247,8 @@ def _source_chunks(spark, sf_dir):
     return numbered.withColumn("chunk", chunk)
 
 
-def file_digest(spark, sf_dir):
-    """SHA-256 and size of files of each source's lines, 500 to a file."""
+def _chunk_files(spark, sf_dir):
+    """Files of each source's lines, 500 to a file."""
     path = scratch_path(spark, "digest")
     (
         _source_chunks(spark, sf_dir)
@@ -233,12 +259,26 @@ def file_digest(spark, sf_dir):
         .write.partitionBy("source", "chunk")
         .text(path, lineSep="\n")
     )
-    return files.file_sha256(spark, path).select(
+    return path
+
+
+def _chunk_key():
+    return [
         F.regexp_extract("path", r"/source=([^/]+)/", 1).alias("source"),
         F.regexp_extract("path", r"/chunk=([0-9]+)/", 1).cast("int").alias("chunk"),
-        "sha256",
-        "length",
-    )
+    ]
+
+
+def file_digest(spark, sf_dir):
+    """SHA-256 and size of files of each source's lines, 500 to a file."""
+    digests = files.file_sha256(spark, _chunk_files(spark, sf_dir))
+    return digests.select(*_chunk_key(), "sha256", "length")
+
+
+def ordered_digest(spark, sf_dir):
+    """The digest of such files that knows the order of lines and no split."""
+    digests = files.file_digests(spark, _chunk_files(spark, sf_dir))
+    return digests.select(*_chunk_key(), "length", "ordered_digest")
 
 
 def _rebaseline(spark, sf_dir):
@@ -286,9 +326,12 @@ QUERIES = {
     "strict_file_survivors": strict_file_survivors,
     "landing_audit": landing_audit,
     "import_roundtrip": import_roundtrip,
+    "multiline_records": multiline_records,
+    "multiline_rejects": multiline_rejects,
     "nway_union": nway_union,
     "union_of_sources": union_of_sources,
     "file_digest": file_digest,
+    "ordered_digest": ordered_digest,
     "folder_listing": folder_listing,
     "rebaseline_chunks": rebaseline_chunks,
     "landing_names": landing_names,
@@ -313,6 +356,31 @@ named as (
   select line, printf('2024-01-31_rebaseline_%02d-of-%02d.csv', chunk_no, chunks) as file_name
   from numbered)"""
 
+_SPANNING = f"""
+with rows as (
+  select id_1, id_2, vaccination_date, event_id,
+         case when event_id % 5 = 0
+              then vaccine_group || chr(10) || 'second "line" | of' || chr(10) || chr(10) || 'three'
+              else vaccine_group end as vaccine_group,
+         user_id % 8 as source, event_id // {FILE_RECORDS} as part,
+         user_id % 8 = 3 and event_id % 95 = 0 as bad,
+         row_number() over (partition by user_id % 8, event_id // {FILE_RECORDS}
+                            order by event_id) + 1 as line_no
+  from (select e.user_id, r.* from ({RECORDS_SQL}) r join events e using (event_id))),
+spoilt as (
+  select source, part, min(line_no) as line_no from rows where bad group by source, part)"""
+_CHUNK_LINES = f"""
+with numbered as (
+  select *, {LINE_SQL} as line, row_number() over (partition by id_2 order by {KEYS}) as seq,
+         (row_number() over (partition by id_2 order by {KEYS}) - 1) // 500 + 1 as chunk
+  from ({_DISTINCT}))"""
+# Horner's rule from the last line to the first.
+_ROLLED = [
+    f"list_reduce(list(cast('0x' || substr(sha256(line), {1 + 7 * i}, 7) as hugeint) + 1 order by seq desc), "
+    f"lambda a, x: (a * {base} + x) % {rolling.MODULUS})"
+    for i, base in enumerate(rolling.BASES)
+]
+
 SQL = {
     "date_formats": """
 select event_id, case when event_id % 8 < 6 then cast(ts as date) end as parsed,
@@ -337,11 +405,17 @@ from rows group by 1, 2""",
     "import_roundtrip": _DISTINCT,
     "nway_union": _DISTINCT,
     "union_of_sources": _DISTINCT,
-    "file_digest": f"""
-with numbered as (
-  select *, {LINE_SQL} as line,
-         (row_number() over (partition by id_2 order by {KEYS}) - 1) // 500 + 1 as chunk
-  from ({_DISTINCT})),
+    "multiline_records": f"""{_SPANNING}
+select distinct {KEYS} from rows r where not exists (
+  select 1 from spoilt s where s.source = r.source and s.part = r.part)""",
+    "multiline_rejects": f"""{_SPANNING}
+select cast(source as int) as source, cast(part as int) as part,
+       cast(line_no as bigint) as line_no, 'date' as reason from spoilt""",
+    "ordered_digest": f"""{_CHUNK_LINES}
+select id_2 as source, cast(chunk as int) as chunk, sum(octet_length(encode(line)) + 1)::bigint as length,
+       printf('%d-%08x%08x', count(*), {_ROLLED[0]}, {_ROLLED[1]}) as ordered_digest
+from numbered group by id_2, chunk""",
+    "file_digest": f"""{_CHUNK_LINES},
 texts as (
   select id_2 as source, cast(chunk as int) as chunk,
          string_agg(line, chr(10) order by {KEYS}) || chr(10) as body

@@ -3,8 +3,8 @@
 Files are read as lines, so a large file is split over tasks.  One scan audits
 every file (size, digest, where its header puts the required columns, whether
 a quote stays open over a line end); the next parses the lines, each by the
-layout of its file.  Only files that do hold records going over a line end are
-read whole by one task each, because nothing can split those.
+layout of its file.  Files that hold records going over a line end are split
+like all others; their lines are first put together by :mod:`.spans`.
 
 A file is taken entirely or not at all.  Its first bad row is found from two
 numbers per split, its row count and the place of its first bad row, so rows
@@ -19,9 +19,9 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from tidemark.functions import rolling
 from tidemark.functions.dates import flexible_date
-from tidemark.functions.digest import digest_sum
-from tidemark.functions.text import all_of, any_of, is_blank, odd_quotes
+from tidemark.functions.text import all_of, any_of, is_blank
 from tidemark.operators.records import dedupe
 from tidemark.schema import (
     IMPORT_SEPARATOR,
@@ -31,15 +31,18 @@ from tidemark.schema import (
     REGISTRY_SEPARATOR,
 )
 from tidemark.session import small_frame, stage
+from tidemark.sources import spans
 from tidemark.sources.files import path_of
 
 # Reason classes in order of precedence; the numbers are what is staged.
 OK, SKIPPED, HEADER = 0, -1, -2
-REASONS = ["arity", "encoding", "date", "id_1", "id_2", "vaccine_group"]
-MISSING_COLUMNS = "missing_columns"
+REASONS = ["arity", "encoding", "date", "id_1", "id_2", "vaccine_group", "oversized"]
+MISSING_COLUMNS, TOO_MANY_COLUMNS = "missing_columns", "too_many_columns"
 
 # Rejected files whose names may be broadcast; more are joined by shuffle.
 BROADCAST_FILES = 100_000
+# Files with records over line ends that are read again by name.
+NAMED_FILES = 1_000
 
 _REJECTS = T.StructType(
     [
@@ -54,6 +57,10 @@ _REJECTS_ARROW = pa.schema(
 
 _BITS = 15
 _MISSING = (1 << _BITS) - 1
+# Fields of a line that a parser makes room for.
+_MOST_COLUMNS = 1 << 16
+# The layout of a header with more columns than positions can be packed for.
+_TOO_MANY = -1
 
 
 @dataclass(frozen=True)
@@ -101,10 +108,11 @@ def _header_code(value: Column, fmt: Format) -> Column:
     """
     outside_quotes = "[" + fmt.separator + r'](?=(?:[^"]*"[^"]*")*[^"]*$)'
     clean = F.regexp_replace(value, "^\ufeff", "")
-    names = F.transform(
-        F.split(clean, outside_quotes),
-        lambda name: F.regexp_replace(name, r'^"(.*)"$', "$1"),
+    # Looking ahead for quotes takes the square of a header's length.
+    split = F.when(clean.contains('"'), F.split(clean, outside_quotes)).otherwise(
+        F.split(clean, "[" + fmt.separator + "]")
     )
+    names = F.transform(split, lambda name: F.regexp_replace(name, r'^"(.*)"$', "$1"))
     code = F.lit(0).cast("long")
     for name in fmt.columns:
         from_end = F.array_position(F.reverse(names), name)
@@ -112,7 +120,8 @@ def _header_code(value: Column, fmt: Format) -> Column:
             F.size(names) - from_end
         )
         code = code * (1 << _BITS) + position
-    return code
+    wide = F.size(names) >= _MISSING
+    return F.when(wide, F.lit(_TOO_MANY).cast("long")).otherwise(code)
 
 
 def _pack(positions: list[int]) -> int:
@@ -144,13 +153,26 @@ def audit(text: DataFrame, fmt: Format) -> DataFrame:
             (F.col("block") == 0) & names_one, _header_code(F.col("value"), fmt)
         ).otherwise(F.lit(none_named).cast("long"))
     first = F.when(F.col("block") == 0, F.col("place"))
-    return lines.groupBy("file").agg(
+    splits = stage(
+        lines.groupBy("file", "block").agg(
+            F.max("bytes").alias("bytes"),
+            F.count(F.lit(1)).alias("lines"),
+            F.min_by(code, first).alias("layout"),
+            F.max(spans.opens(F.col("value"), fmt.separator)).alias("spans_lines"),
+            *[
+                sums.alias(name)
+                for name, sums in rolling.split_sums(F.col("value"), F.col("place")).items()
+            ],
+        ),
+        "split-audit",
+    )
+    files = splits.groupBy("file").agg(
         F.max("bytes").alias("bytes"),
-        F.count(F.lit(1)).alias("lines"),
-        F.min_by(code, first).alias("layout"),
-        F.max(odd_quotes(F.col("value"))).alias("spans_lines"),
-        digest_sum(F.col("value")).cast("string").alias("content_hash"),
+        F.sum("lines").alias("lines"),
+        F.max("layout").alias("layout"),
+        F.max("spans_lines").alias("spans_lines"),
     )
+    return files.join(rolling.with_digest(splits, "file", "block", "content_hash"), "file")
 
 
 def missing_columns(layout: int | None, fmt: Format) -> list[str]:
@@ -188,14 +210,25 @@ def reason_code(
     gap = any_of([one.isNull() for one in ids]) | day.isNull()
     short = gap & (_field_count(raw, separator) < needed)
     checks = [short, ~F.is_valid_utf8(raw), day.isNull(), *[is_blank(one) for one in ids]]
-    code = F.when(checks[0], F.lit(1))
+    oversized = F.lit(1 + REASONS.index("oversized"))
+    code = F.when(raw == spans.OVERSIZED, oversized).when(checks[0], F.lit(1))
     for number, check in enumerate(checks[1:], start=2):
         code = code.when(check, F.lit(number))
     return code.otherwise(F.lit(OK))
 
 
 def _csv_options(fmt: Format) -> dict[str, str]:
-    return {"sep": fmt.separator, "quote": '"', "escape": '"'}
+    return {
+        "sep": fmt.separator, "quote": '"', "escape": '"', "maxColumns": str(_MOST_COLUMNS)
+    }
+
+
+def _split(value: Column, width: int, fmt: Format) -> Column:
+    """The first ``width`` fields of a line; none of one with more than a parser takes."""
+    fits = F.octet_length(value) < _MOST_COLUMNS
+    columns = F.length(value) - F.length(F.replace(value, F.lit(fmt.separator), F.lit("")))
+    fits = F.when(fits, F.lit(True)).otherwise(columns + 1 < _MOST_COLUMNS)
+    return F.from_csv(F.when(fits, value), _schema(width), _csv_options(fmt))
 
 
 def _parsed(
@@ -243,7 +276,7 @@ def _schema(width: int) -> str:
 def _parse_lines(lines: DataFrame, positions: list[int], fmt: Format) -> DataFrame:
     """Lines of files that all have one layout."""
     width = max(positions) + 1
-    rows = lines.withColumn("c", F.from_csv("value", _schema(width), _csv_options(fmt)))
+    rows = lines.withColumn("c", _split(F.col("value"), width, fmt))
     fields = [F.col(f"c.c{i}") for i in range(width)]
     picked = [fields[position] for position in positions]
     layout = F.lit(_pack(positions)).cast("long")
@@ -258,7 +291,7 @@ def _parse_mixed(
     Files that are not among ``layouts`` are left out.
     """
     rows = lines.join(F.broadcast(layouts) if few else layouts, "file")
-    rows = rows.withColumn("c", F.from_csv("value", _schema(width), _csv_options(fmt)))
+    rows = rows.withColumn("c", _split(F.col("value"), width, fmt))
     fields = [F.col(f"c.c{i}") for i in range(width)]
     shifts = [_BITS * back for back in reversed(range(len(fmt.columns)))]
     positions = [
@@ -270,37 +303,6 @@ def _parse_mixed(
     return _parsed(rows, F.col("value"), fields, picked, needed, F.col("layout"), fmt)
 
 
-def _parse_whole(
-    spark: SparkSession, paths: list[str], positions: list[int], fmt: Format
-) -> DataFrame:
-    """Files whose records go on over line ends: one task reads each."""
-    width = max(positions) + 1
-    rows = (
-        spark.read.options(**_csv_options(fmt))
-        .schema(_schema(width) + ", _raw string")
-        .csv(
-            paths,
-            header=False,
-            multiLine=True,
-            columnNameOfCorruptRecord="_raw",
-        )
-        .select(
-            "*",
-            F.col("_metadata.file_path").alias("file"),
-            F.lit(0).cast("long").alias("block"),
-            F.monotonically_increasing_id().alias("place"),
-        )
-    )
-    # The raw text is only kept for rows with more or fewer fields than the
-    # schema; for all others, joined fields say the same.
-    fields = [F.col(f"c{i}") for i in range(width)]
-    joined = F.concat_ws(fmt.separator, *[F.coalesce(one, F.lit("")) for one in fields])
-    raw = F.coalesce(F.col("_raw"), joined)
-    picked = [fields[position] for position in positions]
-    layout = F.lit(_pack(positions)).cast("long")
-    return _parsed(rows, raw, fields, picked, F.lit(width), layout, fmt)
-
-
 # --- quarantine --------------------------------------------------------------
 
 
@@ -359,6 +361,30 @@ def _with_repeated_headers(parsed: DataFrame, splits: DataFrame) -> DataFrame:
     )
 
 
+def _rows(
+    spark: SparkSession, text: DataFrame, audited: DataFrame, spanning: list[str], fmt: Format
+) -> DataFrame:
+    """A row per record: lines as they are, but for files with records over line ends.
+
+    A reader of the header format never sees an empty line; one of the other
+    format counts it.
+    """
+    columns = ["value", "file", "block", "place"]
+    keep_empty = not fmt.has_header
+    lines = _lines(text, keep_empty).select(*columns)
+    if not spanning:
+        return lines
+    names = audited.filter("spans_lines").select("file")
+    few = len(spanning) <= BROADCAST_FILES
+    names = F.broadcast(names) if few else names
+    if len(spanning) <= NAMED_FILES:
+        parts = _lines(spark.read.text([path_of(file) for file in spanning]))
+    else:
+        parts = _lines(text).join(names, "file", "left_semi")
+    whole = spans.records(parts, fmt.separator, keep_empty)
+    return lines.join(names, "file", "left_anti").unionByName(whole)
+
+
 def read_landing(spark: SparkSession, paths: list[str], fmt: Format) -> Landing:
     """All files below ``paths``: accepted rows, rejected files, and an audit.
 
@@ -368,54 +394,36 @@ def read_landing(spark: SparkSession, paths: list[str], fmt: Format) -> Landing:
     # One listing of the files serves both scans.
     text = spark.read.text(paths)
     audited = stage(audit(text, fmt), "audit")
-    by_line: dict[tuple[int, ...], int] = defaultdict(int)
-    whole: dict[tuple[int, ...], list[str]] = defaultdict(list)
+    layouts: dict[tuple[int, ...], int] = defaultdict(int)
+    spanning: list[str] = []
     refused: list[dict] = []
     for row in audited.select("file", "layout", "spans_lines").collect():
         positions = (0, 1, 2, 3)
         if fmt.has_header:
             if missing_columns(row["layout"], fmt):
-                refused.append(
-                    {"file": row["file"], "line_no": 1, "reason": MISSING_COLUMNS}
-                )
+                reason = TOO_MANY_COLUMNS if row["layout"] == _TOO_MANY else MISSING_COLUMNS
+                refused.append({"file": row["file"], "line_no": 1, "reason": reason})
                 continue
             positions = tuple(_unpack(row["layout"], fmt))
+        layouts[positions] += 1
         if row["spans_lines"]:
-            whole[positions].append(path_of(row["file"]))
-        else:
-            by_line[positions] += 1
+            spanning.append(row["file"])
     rejects = small_frame(spark, refused, _REJECTS_ARROW, _REJECTS)
-
-    # A reader of the header format never sees an empty line; one of the other
-    # format counts it.
-    lines = _lines(text, keep_empty=not fmt.has_header)
-    parts = [
-        _parse_whole(spark, files, list(positions), fmt)
-        for positions, files in sorted(whole.items())
-    ]
-    if len(by_line) == 1 and not refused and not whole:
-        parts.append(_parse_lines(lines, list(*by_line), fmt))
-    elif by_line and not fmt.has_header:
-        spanning = audited.filter("spans_lines").select("file")
-        few = sum(map(len, whole.values())) <= BROADCAST_FILES
-        spanning = F.broadcast(spanning) if few else spanning
-        lines = lines.join(spanning, "file", "left_anti")
-        parts.append(_parse_lines(lines, list(*by_line), fmt))
-    elif by_line:
-        width = max(map(max, by_line)) + 1
-        few = sum(by_line.values()) <= BROADCAST_FILES
-        usable = audited.filter(~F.col("spans_lines")).select("file", "layout")
-        if refused:
-            usable = usable.filter(~_any_missing(F.col("layout"), fmt))
-        parts.append(_parse_mixed(lines, usable, few, width, fmt))
-    if not parts:
+    if not layouts:
         nothing = F.lit(None)
         columns = [nothing.cast(f.dataType).alias(f.name) for f in RECORD_SCHEMA]
         empty = spark.range(0).select(*columns, nothing.cast("string").alias("file"))
         return Landing(empty, rejects, audited.withColumn("accepted", F.lit(False)))
-    parsed = parts[0]
-    for part in parts[1:]:
-        parsed = parsed.unionByName(part)
+    lines = _rows(spark, text, audited, spanning, fmt)
+    if len(layouts) == 1 and not refused:
+        parsed = _parse_lines(lines, list(*layouts), fmt)
+    else:
+        width = max(map(max, layouts)) + 1
+        few = sum(layouts.values()) <= BROADCAST_FILES
+        usable = audited.select("file", "layout")
+        if refused:
+            usable = usable.filter(~_any_missing(F.col("layout"), fmt))
+        parsed = _parse_mixed(lines, usable, few, width, fmt)
     parsed = stage(parsed, "parsed")
     rejects = stage(rejects.unionByName(first_bad_rows(parsed)), "rejects")
     good = parsed.filter(F.col("code") == OK).select(*KEY, "file")

@@ -8,7 +8,9 @@ from urllib.parse import unquote
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions import rolling
 from tidemark.functions.digest import digest_sum
+from tidemark.session import stage
 
 # The largest file of which one task makes a SHA-256.
 WHOLE_FILE_BYTES = 512 * 1024 * 1024
@@ -65,23 +67,42 @@ def folder_names(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """Size and order-free line digest of every file below a folder.
+    """Size, order-free line digest and ordered digest of every file below a folder.
 
-    Files of all sizes are read as lines by many tasks.  Spark's readers pass
-    over files without a byte.
+    Files of all sizes are read as lines by many tasks; text that is not UTF-8
+    counts as decoded with replacement, any line end as one line feed.  Spark's
+    readers pass over files without a byte.
     """
     # The scan gives URI-encoded names, in which a plus sign is a plus sign.
     name = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .text(path)
-        .groupBy(name.alias("_name"))
-        .agg(digest_sum(F.col("value")).cast("string").alias("line_digest"))
-        .select(_plain("_name"), "line_digest")
+        .select(
+            "value",
+            name.alias("_name"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_place"),
+        )
+    )
+    sums = rolling.split_sums(F.col("value"), F.col("_place"))
+    splits = stage(
+        lines.groupBy("_name", "_block").agg(
+            digest_sum(F.make_valid_utf8("value")).alias("_free"),
+            *[column.alias(key) for key, column in sums.items()],
+        ),
+        "split-digests",
     )
+    free = splits.groupBy("_name").agg(F.sum("_free").cast("string").alias("line_digest"))
+    ordered = rolling.with_digest(splits, "_name", "_block", "ordered_digest")
+    found = free.join(ordered, "_name").select(_plain("_name"), "line_digest", "ordered_digest")
     listed = list_files(spark, path).select("path", "length", _plain("path"))
-    return listed.join(lines, "_plain", "left").select(
-        "path", "length", F.coalesce("line_digest", F.lit("0")).alias("line_digest")
+    none = rolling.written(F.lit(0), F.lit(0), F.lit(0))
+    return listed.join(found, "_plain", "left").select(
+        "path",
+        "length",
+        F.coalesce("line_digest", F.lit("0")).alias("line_digest"),
+        F.coalesce("ordered_digest", none).alias("ordered_digest"),
     )
 
 
