@@ -1,8 +1,8 @@
 """Registered queries over the given tables, each beside its SQL."""
 
-from tidemark.catalog import diffs, exchange, files, ledgers
+from tidemark.catalog import diffs, districts, exchange, files, ledgers
 
-_MODULES = [diffs, files, ledgers, exchange]
+_MODULES = [diffs, files, ledgers, exchange, districts]
 
 
 def queries():

@@ -79,19 +79,15 @@ def run_totals(spark, sf_dir):
 
 
 def _constructed(spark, sf_dir):
-    """Line items as ledger events of all ten types."""
+    """Line items as ledger events of all types."""
     items = views.table(spark, sf_dir, "lineitem")
     order, part = F.col("l_orderkey"), F.col("l_partkey")
-    values = {
-        name: order if position % 2 == 0 else part
-        for fields in EVENT_FIELDS.values()
-        for position, name in enumerate(fields or ["files_transformed", "new_records"])
-    }
     made = None
     for number, (event_type, fields) in enumerate(EVENT_FIELDS.items()):
         fields = fields or ["files_transformed", "new_records"]
-        one = event(event_type, **{name: values[name] for name in fields})
-        hit = (order + F.col("l_linenumber")) % 10 == number
+        values = {name: part if position % 2 else order for position, name in enumerate(fields)}
+        one = event(event_type, **values)
+        hit = (order + F.col("l_linenumber")) % len(EVENT_FIELDS) == number
         made = F.when(hit, one) if made is None else made.when(hit, one)
     return items.select("l_orderkey", "l_linenumber", "l_shipdate", made.alias("e"))
 
@@ -453,8 +449,8 @@ select vaccination_date, count(distinct id_2) as schools, count(*) as records,
 from ({views.RECORDS_SQL}) group by 1""",
     "event_constructors": f"""
 select l_orderkey, l_linenumber,
-       {_TYPES!r}[(l_orderkey + l_linenumber) % 10 + 1] as type,
-       case (l_orderkey + l_linenumber) % 10
+       {_TYPES!r}[(l_orderkey + l_linenumber) % {len(_TYPES)} + 1] as type,
+       case (l_orderkey + l_linenumber) % {len(_TYPES)}
        {_CONSTRUCTED} end as detail
 from lineitem""",
     "event_payload_json": """

@@ -27,9 +27,9 @@ def power(base: int, exponent: Column) -> Column:
     found: Column | None = None
     for low in range(0, _BITS, _STEP):
         first = pow(base, 1 << low, MODULUS)
-        # One expression: a literal for each power would be a call to the JVM each.
-        powers = ", ".join(f"{pow(first, digit, MODULUS)}L" for digit in range(1 << _STEP))
-        table = F.expr(f"array({powers})")
+        # Folded to one constant; a literal for each power would weigh on every plan.
+        powers = ",".join(str(pow(first, digit, MODULUS)) for digit in range(1 << _STEP))
+        table = F.split(F.lit(powers), ",").cast("array<long>")
         digit = F.shiftright(exponent, low).bitwiseAND(F.lit((1 << _STEP) - 1)).cast("int")
         factor = F.get(table, digit)
         found = factor if found is None else found * factor % MODULUS

@@ -34,9 +34,12 @@ class Size:
         return self.bytes <= limit
 
 
-def measure(records: DataFrame) -> Size:
-    """Row count and in-memory bytes of a record set, in one aggregate."""
-    text = sum((F.octet_length(name) for name in KEY[:3]), F.lit(ROW_OVERHEAD))
+def measure(records: DataFrame, by: list[str] | None = None) -> Size:
+    """Row count and in-memory bytes of a record set, in one aggregate.
+
+    ``by`` are text columns that belong to the key besides.
+    """
+    text = sum((F.octet_length(name) for name in [*(by or []), *KEY[:3]]), F.lit(ROW_OVERHEAD))
     row = records.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(text.cast("long")), F.lit(0)).alias("bytes"),
@@ -72,9 +75,9 @@ def advance(known: DataFrame, new: DataFrame) -> DataFrame:
     return known.select(*KEY).unionByName(new.select(*KEY))
 
 
-def diff(current: DataFrame, known: DataFrame) -> DataFrame:
+def diff(current: DataFrame, known: DataFrame, key: list[str] = KEY) -> DataFrame:
     """Rows of ``current`` that are not in ``known``; keeps left duplicates."""
-    return current.join(known.select(*KEY), KEY, "left_anti")
+    return current.join(known.select(*key), key, "left_anti")
 
 
 def hits(current: DataFrame, known: DataFrame) -> DataFrame:
@@ -82,12 +85,12 @@ def hits(current: DataFrame, known: DataFrame) -> DataFrame:
     return current.join(known.select(*KEY), KEY, "left_semi")
 
 
-def diff_broadcast(current: DataFrame, known: DataFrame) -> DataFrame:
+def diff_broadcast(current: DataFrame, known: DataFrame, key: list[str] = KEY) -> DataFrame:
     """Diff for a deduplicated batch small enough to broadcast."""
-    probe = F.broadcast(current.select(*KEY))
-    seen = dedupe(known.select(*KEY).join(probe, KEY, "left_semi"))
+    probe = F.broadcast(current.select(*key))
+    seen = known.select(*key).join(probe, key, "left_semi").dropDuplicates(key)
     # ``seen`` is a subset of ``current``, so the same bound covers it.
-    return current.join(F.broadcast(seen), KEY, "left_anti")
+    return current.join(F.broadcast(seen), key, "left_anti")
 
 
 def diff_hashed(current: DataFrame, known: DataFrame) -> DataFrame:

@@ -35,18 +35,24 @@ STATUS_MONTHS = 2
 ACTION_SUBMIT, ACTION_WAIT, ACTION_COMPUTE = "submit_queries", "awaiting_results", "compute_diff"
 ACTION_DELIVER, ACTION_COMMIT, ACTION_FINISH = "deliver_diff", "commit_master", "finish"
 SUCCESS, SKIPPED, BLOCKED, FAILED = "success", "skipped", "blocked", "failed"
-STEP_RECONCILE, STEP_FETCH, STEP_GATE, STEP_REBASELINE = (
-    "reconcile", "fetch", "diff_sanity", "rebaseline",
+STEP_RECONCILE, STEP_FETCH, STEP_GATE, STEP_REBASELINE, STEP_READINESS = (
+    "reconcile", "fetch", "diff_sanity", "rebaseline", "readiness",
 )
 NOTHING_STAGED, ALL_FAILED, TOO_LARGE, EMPTY_MASTER = (
     "NoResultsStaged", "AllDownloadsFailed", "SuspiciousDiffVolume", "EmptyMaster",
 )
+# Why one source of a run gave nothing, by the step it failed at.
+SOURCE_SUBMIT, SOURCE_FETCH, SOURCE_PARSE = "submit", "fetch", "transform"
+NO_ROSTER, NO_RESULT, NOT_LANDED, REJECTED = (
+    "RosterMissing", "NoResult", "ResultNotLanded", "FileRejected",
+)
 
 # Ledger events and their payload fields; RunCompleted takes any counts.
 EVENT_FIELDS = {
     "RunStarted": ["kind", "trigger"],
     "QuerySubmitted": ["school_id", "query_file_hash"],
     "RecordsFetched": ["school_id", "content_hash", "byte_size"],
+    "SourceFailed": ["school_id", "step", "error"],
     "DiffComputed": ["new_count", "total_count", "known_hash", "diff_hash"],
     "Delivered": ["file_name", "target", "remote_id"],
     "MasterCommitted": ["master_hash", "record_count", "snapshot_path"],
