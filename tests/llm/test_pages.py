@@ -100,3 +100,57 @@ def test_parts_on_many_pages_of_a_large_host_go(spark):
 )
 def test_only_whole_names_drop_and_never_most_of_a_page(page, text):
     assert pages.main_text(page) == text
+
+
+PROBED = ("ad-slot ad-unit related-posts post-comments entry-comments article-comments cookie-law google-ads "
+          "breadcrumb-trail top-stories author-card share-this newsletter-form").split()
+
+
+@pytest.mark.parametrize("name", PROBED)
+def test_names_of_two_words_drop_by_either_end(name):
+    page = f"<article><p>The text of the article that is read.</p><div class='{name}'>Not of it</div></article>"
+    assert pages.main_text(page) == "The text of the article that is read."
+
+
+def test_long_prose_under_a_name_of_two_meanings_stays():
+    prose = "What the words of a section on social science say, at some length. " * 5
+    for name in ("social-science", "notice-of-loss", "ancient-banner"):
+        page = f"<article><p>First.</p><section class={name}><p>{prose}</p></section><p>{'Last ' * 200}</p></article>"
+        assert pages.main_text(page).split("\n")[1] == prose.strip()
+        links = page.replace(prose, f"<a href=x>{prose}</a>")
+        assert pages.main_text(links).split("\n")[1].startswith("Last")
+    assert pages.main_text(f"<p>{'Text ' * 300}</p><div class=reader-comments>{prose}</div>") == ("Text " * 300).strip()
+
+
+def test_what_recurs_inside_a_text_is_no_template(spark):
+    page = ("<div class=menu-of-site>Start here</div><article><h2>Summary</h2><p>He <b>Note:</b> said 3 things, "
+            "<em>not</em> all of them {0}.</p><p>The end.</p><ul><li>Yes<li>{0}</ul><table><tr><td>Yes<td>{0}</table>"
+            "<div>Yes</div><div>A box of more than five words</div></article>")
+    rows = [(i, "http://one.example/x", page.format(i)) for i in range(20)]
+    made = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract(made).collect()}
+    assert got[7] == "Summary\nHe Note: said 3 things, not all of them 7.\nThe end.\nYes\n7\nYes\n7\nYes"
+
+
+def test_template_counts_equal_brute_force(spark):
+    """Every part of every distinct page, counted by itself."""
+    raw = [(r.url, r.html or "") for r in table(spark, SF_DIR, "pages").collect()]
+    raw += [(f"http://b.example/{i}", f"<ul><li>One menu</ul><article><p>{i}</p><div>Five words in a box</div></article>")
+            for i in range(14)]
+    made = spark.createDataFrame(raw, "url string, html string")
+    hosts = made.select(pages._host(made["url"]).alias("_host"), made["html"].alias("_html"))
+    got = {(r["_host"], key) for r in pages.templates(hosts, 10, 0.5).collect() for key in r["keys"]}
+    seen = {}
+    for url, text in raw:
+        root = pages.parse(text)
+        keys = pages.subtrees(root)
+        host = re.match(r"\w+://([^/]*)", url)[1]
+        distinct = seen.setdefault(host, {})
+        distinct.setdefault(pages.page_text(root), set()).update(keys)
+    want = set()
+    for host, distinct in seen.items():
+        for key in set().union(*distinct.values()):
+            n = sum(key in keys for keys in distinct.values())
+            if n >= 10 and n > 0.5 * len(distinct):
+                want.add((host, key))
+    assert got == want and {host for host, _ in got} == {"b.example"}

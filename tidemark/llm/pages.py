@@ -1,16 +1,19 @@
 """HTML extraction with site template removal.
 
-A page is read into a small tree.  Each element with text below the body has a
-hash of its subtree (names, classes, text).  Spark counts on how many pages of a
-host a subtree occurs, pages of one main text counting once; subtrees on at least
-``LEAST_PAGES`` pages and more than ``TEMPLATE_SHARE`` of the host's pages are its
-template and are deleted, and so are whole parts (:data:`PARTS`) on at least
-``MANY_PAGES`` and more than ``MANY_SHARE``.  What
-by its element, role or class is navigation, a header, footer, sidebar, notice,
-advert, form, script, style or comment section goes as well, since a menu may
-differ on each page; classes count as whole names, and never drop an article or
-most of a page.  The text is then that of the main part or the articles, if they
-hold most of the body's, or the body, one line per block.
+A page is read into a small tree.  Each part of it (:data:`PARTS`) that holds
+text has a hash of its subtree (names, classes, text).  Spark counts on how many
+pages of a host a subtree occurs, pages of one main text counting once; subtrees
+on at least ``LEAST_PAGES`` pages and more than ``TEMPLATE_SHARE`` of the host's
+pages are its template and are deleted, and so are those of some words on at
+least ``MANY_PAGES`` and more than ``MANY_SHARE``.  Only containers are template,
+and paragraphs that lie in no article: an inline element, item, cell, heading or
+an article's paragraph never is by itself, however often it recurs.
+What by its element, role or class is navigation, a header, footer, sidebar,
+notice, advert, form, script, style or comment section goes as well, since a menu
+may differ on each page.  A class names such a part by its first or last word;
+where that word has other meanings, long prose with few links is kept.  None of
+this drops an article or most of a page.  The text is then that of the main part
+or the articles, if they hold most of the body's, or the body, one line per block.
 """
 
 from __future__ import annotations
@@ -43,10 +46,10 @@ BLOCKS = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav "
     "ol p pre search section summary table tbody td tfoot th thead tr ul caption".split()
 )
-#: Elements that may be a menu, promo or notice as a whole; cells, items and headings may not.
+#: Containers, which may be a menu, promo or notice as a whole.
 PARTS = frozenset(
-    "address article aside blockquote center details dir div dl fieldset figure footer form header "
-    "hgroup menu nav ol p section table ul".split()
+    "address aside center details dir div dl fieldset figure footer form header hgroup menu nav ol "
+    "section table ul".split()
 )
 #: A start tag of the second column ends an open element of the first.
 CLOSES_PARAGRAPH = BLOCKS - frozenset("body html caption tbody td tfoot th thead tr li dd dt legend".split())
@@ -70,19 +73,33 @@ DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar "
     "toolbar".split()
 )
-#: Words in classes and ids that name such parts.
-DROPPED_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment "
-    "comments commentlist consent cookie cookies disqus footer gdpr masthead menu modal nav navbar "
-    "navigation newsletter notice notices notification overlay pagination paywall popup promo promos "
-    "promotion recommended related reply replies respond share sharing sidebar sidebars signup "
-    "skyscraper social sponsor sponsored sponsors subscribe subscription toolbar widget widgets".split()
+#: Words in classes and ids that name such parts, at either end of a name of several words.
+STRONG_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising breadcrumb breadcrumbs comment comments "
+    "commentlist consent cookie cookies disqus gdpr nav navbar navigation newsletter pagination paywall "
+    "replies reply respond sidebar sidebars skyscraper sponsor sponsored sponsors".split()
 )
-#: Words that may stand beside such a word in a class or id, as in ``site-footer``; any other makes it another name.
+#: Words that name such parts but also something else.
+WEAK_NAMES = frozenset(
+    "banner footer masthead menu modal notice notices notification overlay popup promo promos promotion "
+    "recommended related share sharing signup social subscribe subscription toolbar widget widgets".split()
+)
+DROPPED_NAMES = STRONG_NAMES | WEAK_NAMES
+#: Names of such parts that no word of theirs is alone.
+DROPPED_PAIRS = frozenset(
+    ["author bio", "author box", "author card", "more stories", "most popular", "most read", "read next",
+     "top stories"]
+)
+#: First words that make the rest of a name say what something has, not what it is.
+ABOUT_NAMES = frozenset("category has in is no not tag type with without".split())
+#: Words beside which a weak name is one for certain, as in ``site-footer``, and which an id may hold besides.
 BESIDE_NAMES = frozenset(
     "area bar block bottom box button buttons container global icons inner left links list main page "
     "primary right secondary section site top user wrap wrapper".split()
 )
+#: Characters of text with few links from which a part with a weak name is prose.
+PROSE_CHARS = 200
+PROSE_LINKS = 0.3
 #: Elements that no class or id drops, and those that an id may drop.
 KEPT = frozenset("article main h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset("div section header footer nav aside ul ol dl table form figure center".split())
@@ -104,18 +121,19 @@ _WORD = re.compile(r"[a-z]+")
 class Element:
     """An element: its name, the words of its class, id and role, its children."""
 
-    __slots__ = ("name", "label", "names", "hidden", "role", "children", "key", "heavy")
+    __slots__ = ("name", "label", "classes", "id", "hidden", "role", "children", "key", "heavy", "prose")
 
     def __init__(self, name: str, attrs: str = "") -> None:
         self.name, self.label, self.role, self.hidden, self.key = name, "", "", False, 0
-        self.names, self.heavy = "", False
+        self.classes, self.id, self.heavy, self.prose = "", "", False, False
         self.children: list[Element | str] = []
         if attrs:
             found = {
                 m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attrs)
             }
             self.label = f"{found.get('class', '')} {found.get('id', '')}".strip().lower()
-            self.names = self.label if name in CONTAINERS else found.get("class", "").lower()
+            self.classes = found.get("class", "").lower()
+            self.id = found.get("id", "").lower() if name in CONTAINERS else ""
             self.role = found.get("role", "").strip().lower()
             self.hidden = found.get("aria-hidden", "").lower() == "true" or bool(
                 re.search(r"(?:^|\s)hidden(?:\s|/|$)", re.sub(r"=\s*(\"[^\"]*\"|'[^']*')", "=", attrs))
@@ -126,14 +144,26 @@ class Element:
             return True
         if self.name == "header" and not in_article:
             return True
-        if not self.names or self.heavy or self.name in KEPT or self.role in ("main", "article"):
+        if self.heavy or self.name in KEPT or self.role in ("main", "article"):
             return False
-        for token in self.names.split():
+        headers = frozenset() if in_article else PAGE_HEADERS
+        for token in f"{self.classes} {self.id}".split():
             words = _WORD.findall(token)
-            named = [w for w in words if w in DROPPED_NAMES or not in_article and w in PAGE_HEADERS]
+            named = [w for w in words if w in DROPPED_NAMES or w in headers]
             if named and all(w in named or w in BESIDE_NAMES for w in words):
                 return True
-        return False
+        return any(self._names_a_part(_WORD.findall(token)) for token in self.classes.split())
+
+    def _names_a_part(self, words: list[str]) -> bool:
+        if not words or words[0] in ABOUT_NAMES:
+            return False
+        ends = {words[0], words[-1]}
+        if ends & STRONG_NAMES or " ".join(words[:2]) in DROPPED_PAIRS:
+            return True
+        return bool(ends & WEAK_NAMES) and not self.prose
+
+    def may_be_template(self, in_article: bool) -> bool:
+        return self.name in PARTS or self.name == "p" and not in_article
 
 
 def parse(html: str) -> Element:
@@ -198,18 +228,23 @@ def _close(stack: list[Element], name: str) -> None:
 
 
 def subtrees(root: Element) -> dict[int, bool]:
-    """Hashes of the subtrees with text, and whether each is a part; each element bears its own."""
+    """Hashes of the parts with text, and whether each has words enough; each element bears its own.
+
+    Parts within an article count only if they have.
+    """
     import xxhash
 
     found: dict[int, bool] = {}
     words: dict[int, int] = {}
     # Children before parents, without recursion: pages may nest deeply.
-    order, todo = [], [root]
+    order: list[tuple[Element, bool]] = []
+    todo = [(root, False)]
     while todo:
-        element = todo.pop()
-        order.append(element)
-        todo.extend(c for c in element.children if not isinstance(c, str))
-    for element in reversed(order):
+        element, inside = todo.pop()
+        order.append((element, inside))
+        inside = inside or is_unit(element)
+        todo.extend((c, inside) for c in element.children if not isinstance(c, str))
+    for element, inside in reversed(order):
         parts, n = [], 0
         for child in element.children:
             if isinstance(child, str):
@@ -224,8 +259,8 @@ def subtrees(root: Element) -> dict[int, bool]:
             packed = "\x01".join([element.name, element.label, *parts])
             element.key = xxhash.xxh3_64_intdigest(packed.encode("utf-8", "surrogatepass")) - (1 << 63)
             words[element.key] = n
-            if element is not root:
-                found[element.key] = n >= PART_WORDS and element.name in PARTS
+            if element is not root and element.may_be_template(inside) and (n >= PART_WORDS or not inside):
+                found[element.key] = n >= PART_WORDS
     return found
 
 
@@ -234,26 +269,33 @@ def is_unit(element: Element) -> bool:
 
 
 def weigh(root: Element) -> None:
-    """Mark the elements that hold most of the page's text, unless an article or main stands beside them."""
+    """Mark the elements that hold most of the page's text, unless an article or main stands beside them.
+
+    Marks those that hold prose, too: text of some length with few links.
+    """
     order, todo = [], [root]
     while todo:
         element = todo.pop()
         order.append(element)
         todo.extend(c for c in element.children if not isinstance(c, str))
     sizes: dict[int, int] = {}
+    linked: dict[int, int] = {}
     units: dict[int, bool] = {}
     for element in reversed(order):
         if element.name in DROPPED or element.role in DROPPED_ROLES or element.hidden:
-            sizes[id(element)], units[id(element)] = 0, False
+            sizes[id(element)], linked[id(element)], units[id(element)] = 0, 0, False
             continue
-        size, unit = 0, is_unit(element)
+        size, links, unit = 0, 0, is_unit(element)
         for child in element.children:
             if isinstance(child, str):
                 size += len(child.strip())
             else:
                 size += sizes[id(child)]
+                links += linked[id(child)]
                 unit = unit or units[id(child)]
-        sizes[id(element)], units[id(element)] = size, unit
+        links = size if element.name == "a" else links
+        element.prose = size >= PROSE_CHARS and links <= PROSE_LINKS * size
+        sizes[id(element)], linked[id(element)], units[id(element)] = size, links, unit
     top = root
     while True:
         inner = [c for c in top.children if not isinstance(c, str)]
@@ -304,7 +346,7 @@ def text_blocks(top: Element, template: frozenset[int] | set[int]) -> list[str]:
             run.append(child)
         elif child.name == "br":
             run.append(" ")
-        elif child.dropped(inside) or child.key in template and child.key:
+        elif child.dropped(inside) or child.key in template and child.key and child.may_be_template(inside):
             if child.name in BLOCKS or child.name in DROPPED:
                 run.append(" ")
         else:
