@@ -15,7 +15,7 @@ from tidemark.functions.names import event_name
 from tidemark.operators import coverage, numbering, reconcile, runs
 from tidemark.schema import EVENT_FIELDS, TERMINAL_TYPES
 from tidemark.session import scratch_path
-from tidemark.sources import dimension, files, ledger
+from tidemark.sources import dimension, files, ledger, months
 
 LISTED_SINCE = dt.date(2001, 7, 25)
 PERIOD = "2001-07"
@@ -59,6 +59,45 @@ def recent_run_events(spark, sf_dir):
     )
 
 
+RECENT = 40
+#: Days that one run's events spread over, so that runs go on over ends of months.
+RUN_DAYS = 3
+FOLDED_ON = dt.date(2001, 7, 20)
+
+
+def _folded_ledger(spark, sf_dir):
+    """Orders as events of runs of some days, filed by month and folded but for the last months."""
+    day = F.datediff("o_orderdate", F.lit("1970-01-01"))
+    rows = views.table(spark, sf_dir, "orders").select(
+        F.format_string("run_%05d", F.floor(day / RUN_DAYS)).alias("run_id"),
+        F.concat(F.lit("Order"), "o_orderstatus").alias("type"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("at"),
+        F.create_map(F.lit("order"), F.col("o_orderkey").cast("string")).alias("data"),
+        "o_orderkey",
+    )
+    path = f"{scratch_path(spark, 'ledger')}/ledger"
+    ledger.append(numbering.sequence(rows, ["run_id"], ["at", "o_orderkey"]), path)
+    months.fold(spark, path, FOLDED_ON)
+    return path
+
+
+def recent_by_month(spark, sf_dir):
+    """Events of the newest runs, read from the months they lie in."""
+    return months.recent(spark, _folded_ledger(spark, sf_dir), RECENT).select(
+        "run_id", "seq", "type", F.col("data")["order"].cast("long").alias("order_key")
+    )
+
+
+def folded_months(spark, sf_dir):
+    """The folded ledger read as a whole, by month."""
+    events = months.read(spark, _folded_ledger(spark, sf_dir))
+    return events.groupBy(F.year("at").alias("year"), F.month("at").alias("month"), "type").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(F.col("seq") == 1).alias("started"),
+        F.sum(F.col("data")["order"].cast("long")).alias("order_keys"),
+    )
+
+
 def claim_winner(spark, sf_dir):
     attempts = views.table(spark, sf_dir, "events").select(
         "event_type",
@@ -334,6 +373,8 @@ def submission_gap(spark, sf_dir):
 
 
 QUERIES = {
+    "recent_by_month": recent_by_month,
+    "folded_months": folded_months,
     "run_sequence": run_sequence,
     "run_timeline": run_timeline,
     "run_summary": run_summary,
@@ -423,7 +464,22 @@ with ledger as (
 
 _SETS = views.sets_sql()
 
+_RUN_ORDERS = f"""
+with events as (
+  select printf('run_%05d', date_diff('day', date '1970-01-01', cast(o_orderdate as date)) // {RUN_DAYS}) as run_id,
+         'Order' || o_orderstatus as type, o_orderdate as "at", o_orderkey as order_key,
+         row_number() over (partition by date_diff('day', date '1970-01-01', cast(o_orderdate as date)) // {RUN_DAYS}
+                            order by o_orderdate, o_orderkey) as seq
+  from orders)"""
+
 SQL = {
+    "recent_by_month": f"""{_RUN_ORDERS}
+select run_id, seq, type, order_key from events where run_id in (
+  select run_id from events where seq = 1 order by "at" desc, run_id limit {RECENT})""",
+    "folded_months": f"""{_RUN_ORDERS}
+select year("at") as year, month("at") as month, type, count(*) as events,
+       count(*) filter (seq = 1) as started, sum(order_key)::bigint as order_keys
+from events group by 1, 2, 3""",
     "run_sequence": f"""{RUNS_SQL}
 select event_id, run_id, seq, printf('%03d_%s.json', seq, type) as name from runs""",
     "run_timeline": """

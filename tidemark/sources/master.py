@@ -139,8 +139,8 @@ def commit_event(base: Version, after: Version, segment: str) -> tuple[str, dict
     return "MasterCommitted", data
 
 
-def committed(events: DataFrame) -> Version:
-    """The version that the ledger's commits lead to.
+def committed(events: DataFrame, base: Version = Version()) -> Version:
+    """The version that the ledger's commits lead to, from ``base`` on.
 
     Each commit names the version it was made on.  Of several commits on one
     version the first counts, ties by run id; what the others held is new again
@@ -164,7 +164,9 @@ def committed(events: DataFrame) -> Version:
     # Compactions: one segment in the place of all of a version.
     folds = attempts.filter("base = master").filter(F.col("run_id").endswith(F.concat(F.lit("\n"), "master")))
     folded = {row["base"] for row in folds.select("base").distinct().collect()}
-    version = Version()
+    version = base
+    if version.name in folded:
+        version = Version(version.records, version.digest, (version.name,))
     while version.name in won:
         _, records, segment, master = won.pop(version.name).split("\n")
         before = () if segment == master else version.segments
