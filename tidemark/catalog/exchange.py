@@ -66,6 +66,18 @@ def gate_blocks_run(spark, sf_dir):
     return store.known()
 
 
+def blocked_archive(spark, sf_dir):
+    """What the gate stopped is archived all the same."""
+    store = Store(spark, scratch_path(spark, "store"))
+    rows = views.records(spark, sf_dir)
+    known = _land(spark, sf_dir, views.before(rows, "2024-01-08"))
+    flood = _land(spark, sf_dir, views.since(rows, "2024-01-05"))
+    jobs.run_incremental(store, _glob(known), REGISTRY, dt.date(2024, 1, 8))
+    done = jobs.run_incremental(store, _glob(flood), REGISTRY, views.AS_OF)
+    archived = spark.read.parquet(f"{store.archive_path}/date={views.AS_OF.isoformat()}/*")
+    return archived.select(*KEY, F.lit(done.status).alias("status"))
+
+
 def master_commit_replay(spark, sf_dir):
     """Segments committed twice: the same records, the same fingerprint."""
     known, current = views.known_and_current(spark, sf_dir)
@@ -196,6 +208,59 @@ def stream_incremental_diff(spark, sf_dir):
     return store.known()
 
 
+class _Lost(RuntimeError):
+    """What a run dies of in :class:`_Dying`."""
+
+
+class _Dying(Store):
+    """A store whose master is lost between delivery and commit."""
+
+    @property
+    def master(self):
+        class Lost(type(super().master)):
+            def write_segment(self, records, segment):
+                raise _Lost
+
+        return Lost(self.spark, f"{self.root}/master")
+
+
+def stream_late_sources(spark, sf_dir):
+    """Files out of order: newer days first, then older ones, a source that comes last.
+
+    The run over the older days dies after its delivery; the stream is started
+    again when the late source has come, too.  Each record with the number of
+    files it was delivered in, and whether the master holds it.
+    """
+    store = Store(spark, scratch_path(spark, "store"))
+    checkpoint, landing = scratch_path(spark, "stream"), scratch_path(spark, "landing")
+    rows = views.records(spark, sf_dir)
+    late, middle = F.col("id_2") == "S003", "2024-01-16"
+    parts = [
+        (views.since(rows, middle).where(~late), store, True),
+        (views.before(rows, middle).where(~late), _Dying(spark, store.root), False),
+        (rows.where(late), store, True),
+    ]
+    for number, (part, kept, lives) in enumerate(parts):
+        part.select(
+            "id_1", "id_2", F.col("vaccine_group").alias("vaccine_group_name"), "vaccination_date"
+        ).write.option("header", "true").option("sep", "|").csv(f"{landing}/day={number}")
+        query = stream_landing(
+            kept, f"{landing}/*", checkpoint, REGISTRY, views.AS_OF, fraction=None
+        )
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if lives:
+                raise
+    sent = extracts.read_landing(spark, [f"{store.delivery_path}/*/*/*/part-*"], IMPORT).records
+    return (
+        sent.select(*KEY, F.lit(1).alias("sent"))
+        .unionByName(store.known().select(*KEY, F.lit(0).alias("sent")))
+        .groupBy(*KEY)
+        .agg(F.sum("sent").alias("deliveries"), F.count_if(F.col("sent") == 0).alias("in_master"))
+    )
+
+
 def stream_first_seen(spark, sf_dir):
     """Distinct records of the events read as a stream."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -226,6 +291,7 @@ QUERIES = {
     "incremental_run": incremental_run,
     "incremental_replay": incremental_replay,
     "gate_blocks_run": gate_blocks_run,
+    "blocked_archive": blocked_archive,
     "master_commit_replay": master_commit_replay,
     "rival_commits": rival_commits,
     "reconciliation_job": reconciliation_job,
@@ -233,6 +299,7 @@ QUERIES = {
     "compacted_master": compacted_master,
     "stream_incremental_diff": stream_incremental_diff,
     "stream_blocked_then_released": stream_blocked_then_released,
+    "stream_late_sources": stream_late_sources,
     "stream_first_seen": stream_first_seen,
 }
 
@@ -244,6 +311,12 @@ SQL = {
     "incremental_replay": _ALL,
     "gate_blocks_run": f"""
 select distinct {KEYS} from ({RECORDS_SQL}) where ts < timestamp '2024-01-08'""",
+    "blocked_archive": f"""
+select distinct {KEYS}, 'blocked' as status from ({RECORDS_SQL}) r
+where ts >= timestamp '2024-01-05' and not exists (
+  select 1 from ({RECORDS_SQL}) k where k.ts < timestamp '2024-01-08' and k.id_1 = r.id_1
+    and k.id_2 = r.id_2 and k.vaccine_group = r.vaccine_group
+    and k.vaccination_date = r.vaccination_date)""",
     "master_commit_replay": f"""{_SETS}, master as (select * from known union select * from new)
 select count(*) as records, cast(sum({DIGEST_SQL}) as varchar) as fingerprint from master""",
     "rival_commits": _ALL,
@@ -258,5 +331,7 @@ from firsts group by part""",
     "compacted_master": _ALL,
     "stream_incremental_diff": _ALL,
     "stream_blocked_then_released": f"select distinct {KEYS} from ({RECORDS_SQL})",
+    "stream_late_sources": f"""
+select distinct {KEYS}, 1::bigint as deliveries, 1::bigint as in_master from ({RECORDS_SQL})""",
     "stream_first_seen": f"select distinct {KEYS} from ({RECORDS_SQL})",
 }

@@ -213,6 +213,37 @@ def import_roundtrip(spark, sf_dir):
     return extracts.combine(extracts.read_landing(spark, [f"{path}/part-*"], IMPORT))
 
 
+def blank_rows_skipped(spark, sf_dir):
+    """Import files with rows of nothing but separators, quotes and spaces between their records."""
+    path = scratch_path(spark, "blanks")
+    rows = views.records(spark, sf_dir)
+    blank = F.element_at(
+        F.array(*[F.lit(text) for text in ["", ",,,", " , ,\t,", '"","",,', "  "]]),
+        (F.col("event_id") % 5 + 1).cast("int"),
+    )
+    lines = F.when(F.col("event_id") % 7 == 0, F.array(blank, record_line())).otherwise(
+        F.array(record_line())
+    )
+    rows.select(F.explode(lines).alias("value")).write.text(path, lineSep="\n")
+    return extracts.combine(extracts.read_landing(spark, [f"{path}/part-*"], IMPORT))
+
+
+def replaced_text_digest(spark, sf_dir):
+    """Ordered digests of files with bytes that are no text, decoded with replacement."""
+    path = scratch_path(spark, "broken")
+    broken = F.concat(F.col("p_name"), F.unhex(F.lit("ff")).cast("string"), F.lit("x"),
+                      F.unhex(F.lit("e282")).cast("string"))
+    (
+        views.table(spark, sf_dir, "part")
+        .select((F.col("p_partkey") % 4).alias("part"), "p_partkey", broken.alias("value"))
+        .repartition("part").sortWithinPartitions("part", "p_partkey")
+        .select("part", "value").write.partitionBy("part").text(path, lineSep="\n")
+    )
+    return files.file_digests(spark, path).select(
+        F.regexp_extract("path", r"/part=([0-9]+)/", 1).cast("int").alias("part"), "ordered_digest"
+    )
+
+
 def nway_union(spark, sf_dir):
     """Overlapping import files of every source combined in one dedupe."""
     path = scratch_path(spark, "nway")
@@ -329,6 +360,8 @@ QUERIES = {
     "multiline_records": multiline_records,
     "multiline_rejects": multiline_rejects,
     "nway_union": nway_union,
+    "blank_rows_skipped": blank_rows_skipped,
+    "replaced_text_digest": replaced_text_digest,
     "union_of_sources": union_of_sources,
     "file_digest": file_digest,
     "ordered_digest": ordered_digest,
@@ -404,6 +437,13 @@ select cast(source as int) as source, cast(part as int) as part, count(*) + 1 as
 from rows group by 1, 2""",
     "import_roundtrip": _DISTINCT,
     "nway_union": _DISTINCT,
+    "blank_rows_skipped": _DISTINCT,
+    "replaced_text_digest": f"""
+with numbered as (
+  select p_partkey % 4 as part, p_partkey as seq, p_name || chr(65533) || 'x' || chr(65533) as line from part)
+select cast(part as int) as part,
+       printf('%d-%08x%08x', count(*), {_ROLLED[0]}, {_ROLLED[1]}) as ordered_digest
+from numbered group by part""",
     "union_of_sources": _DISTINCT,
     "multiline_records": f"""{_SPANNING}
 select distinct {KEYS} from rows r where not exists (
