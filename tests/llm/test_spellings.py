@@ -86,8 +86,10 @@ def crowd(letters, size, seed, front=""):
     return {word: int(2 + 3 ** rng.integers(0, 9)) for word in sorted(made)}
 
 
-@pytest.mark.parametrize("front", ["", "vorneweg", "é"])
-@pytest.mark.parametrize("bounds", [(4096, 1024, 1 << 17), (16, 8, 1 << 17), (4096, 1024, 90)])
+@pytest.mark.parametrize(
+    "front, bounds",
+    [("", (4096, 1024, 1 << 17)), ("vorneweg", (4096, 1024, 1 << 17)), ("é", (16, 8, 1 << 17)), ("", (4096, 1024, 90))],
+)
 def test_crowded_blocks_equal_brute_force(spark, monkeypatch, front, bounds):
     for name, value in zip(("BLOCK_WORDS", "INDEX_WORDS", "BLOCK_LETTERS"), bounds):
         monkeypatch.setattr(spellings, name, value)

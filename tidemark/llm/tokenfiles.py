@@ -11,22 +11,23 @@ stripes by their statistics, row groups by the index and the Bloom filter.
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.frames import join_rows, keyed
 from tidemark.session import scratch_path
 
 END_ID = 2
-#: Entries that a worker keeps before it starts afresh; results don't depend on it.
-MEMO_ENTRIES = 1_000_000
-SLICE_ROWS = 256
+#: Words that a worker keeps in each of two generations; results don't depend on it.
+MEMO_ENTRIES = 500_000
+#: Bytes of text encoded at a time, if they are of several texts.
+SLICE_BYTES = 8 << 20
 
 #: Settings of the files: stripes, rows per index entry, Bloom filters.
 ORC_OPTIONS = {
@@ -38,8 +39,9 @@ ORC_OPTIONS = {
 }
 
 #: White space before a space or line end: such texts are encoded whole.
-_RUNS = re.compile(
-    r"[\s\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff][ \n]"
+_RUNS = (
+    r"[\x{00}-\x{20}\x{7f}-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}"
+    r"\x{205f}-\x{206f}\x{3000}\x{feff}][ \n]"
 )
 
 
@@ -49,7 +51,11 @@ class Encoder:
     Byte-level pre-tokenisation always starts a new piece at a space or line end
     that follows something else, so what lies between can be encoded by itself.
     That is tested on loading; a tokenizer for which it doesn't hold encodes
-    whole texts.
+    whole texts.  The texts of a slice are cut into words by Arrow; each
+    distinct word is looked up once, and those not known are encoded together,
+    as one text of words with a space before each: a token that begins with a
+    space begins the next word.  Of the words kept, those of the last but one
+    generation go when the last one is full.
     """
 
     def __init__(self, path: str) -> None:
@@ -60,8 +66,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {}
-        self.firsts: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         first = spec.get("pre_tokenizer") or {}
@@ -74,57 +80,107 @@ class Encoder:
             and not any(" " in t["content"] or "\n" in t["content"] or t["lstrip"] or t["rstrip"]
                         for t in spec.get("added_tokens", []))
         )
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        # Byte-level vocabularies write a space as this letter.
+        self.begins = np.array([(self.library.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
 
     def _pack(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", one.ids).tobytes() for one in found]
 
-    def _learn(self, memo: dict[str, bytes], parts: set[str], before: str) -> None:
-        """Encodes words that follow a space (or a line end that they begin with)."""
-        if len(memo) + len(parts) > MEMO_ENTRIES:
-            memo.clear()
-        new = list(parts)
-        for begin in range(0, len(new), 4096):
-            some = new[begin : begin + 4096]
-            texts = [part if part[:1] == "\n" else before + part for part in some]
-            memo.update(zip(some, self._pack(texts)))
+    def _pack_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words after a space, or after the line end that they begin with."""
+        packed: list[bytes] = []
+        for begin in range(0, len(words), 4096):
+            some = words[begin : begin + 4096]
+            joined = " " + " ".join(some)
+            together = None
+            # No other white space in them, and none empty.
+            if joined.split() == some:
+                ids = np.frombuffer(self._pack([joined])[0], np.uint32)
+                starts = np.flatnonzero(self.begins[ids])
+                if len(starts) == len(some) and starts[0] == 0:
+                    ends = [*(4 * starts[1:]).tolist(), 4 * len(ids)]
+                    whole = ids.tobytes()
+                    together = [whole[a:b] for a, b in zip((4 * starts).tolist(), ends)]
+            packed += together or self._pack([w if w[:1] == "\n" else " " + w for w in some])
+        return packed
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, encoding those not met lately."""
+        young, old = self.young, self.old
+        found = list(map(young.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        new: list[int] = []
+        for i in missing:
+            ids = old.get(words[i])
+            if ids is None:
+                new.append(i)
+            else:
+                found[i] = young[words[i]] = ids
+        plain = [i for i in new if len(words[i].split()) == 1 and words[i][0] != "\n"]
+        rest = sorted(set(new).difference(plain))
+        for places in (plain, rest):
+            for i, ids in zip(places, self._pack_words([words[i] for i in places])):
+                found[i] = young[words[i]] = ids
+        if len(young) > MEMO_ENTRIES:
+            self.young, self.old = {}, young
+        return found
+
+    def _by_words(self, texts: pa.StringArray) -> pa.ListArray:
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        offsets = np.asarray(cut.offsets)
+        words = cut.flatten().dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        places = np.array(words.indices, np.int64)
+        # A text's first word has no space before it.
+        starts = offsets[:-1] - offsets[0]
+        firsts, own = np.unique(places[starts], return_inverse=True)
+        places[starts] = len(distinct) + own
+        used = np.zeros(len(distinct), bool)
+        used[places[places < len(distinct)]] = True
+        found: list[bytes] = [b""] * len(distinct)
+        at = np.flatnonzero(used).tolist()
+        for i, ids in zip(at, self._known([distinct[i] for i in at])):
+            found[i] = ids
+        found += self._pack([distinct[i] for i in firsts])
+        sizes = np.fromiter((len(ids) // 4 for ids in found), np.int64, len(found))
+        ids = pa.ListArray.from_arrays(
+            pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()),
+            pa.array(np.frombuffer(b"".join(found), np.int32)),
+        )
+        ends = np.r_[0, np.cumsum(sizes[places])][offsets - offsets[0]]
+        return pa.ListArray.from_arrays(
+            pa.array(ends, pa.int32()), ids.take(pa.array(places)).flatten()
+        )
+
+    def encode_array(self, texts: pa.StringArray) -> pa.ListArray:
+        """The ids of each text."""
+        if not len(texts):
+            return pa.array([], pa.list_(pa.int32()))
+        apart = np.full(len(texts), not self.by_word)
+        if self.by_word:
+            apart = np.array(pc.match_substring_regex(texts, _RUNS))
+        if not apart.any():
+            return self._by_words(texts)
+        whole = np.flatnonzero(apart)
+        packed = self._pack([texts[int(i)].as_py() for i in whole])
+        sizes = [len(ids) // 4 for ids in packed]
+        one = pa.ListArray.from_arrays(
+            pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()),
+            pa.array(np.frombuffer(b"".join(packed), np.int32)),
+        )
+        if len(whole) == len(texts):
+            return one
+        other = self._by_words(texts.take(pa.array(np.flatnonzero(~apart))))
+        order = np.argsort(np.r_[whole, np.flatnonzero(~apart)], kind="stable")
+        return pa.concat_arrays([one, other]).take(pa.array(order))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text, as 32-bit integers in the machine's order."""
-        cut: list[list[str] | None] = [
-            None
-            if not self.by_word or _RUNS.search(text)
-            else text.replace("\n", " \n").split(" ")
-            for text in texts
-        ]
-        memo, firsts = self.memo, self.firsts
-        out: list[bytes | None] = []
-        again: list[int] = []
-        wanted: set[str] = set()
-        for at, parts in enumerate(cut):
-            if parts is None:
-                out.append(None)
-                continue
-            # The first part has no space before it.
-            found = [firsts.get(parts[0]), *map(memo.get, parts[1:])]
-            if None in found:
-                again.append(at)
-                wanted.update(p for p, ids in zip(parts[1:], found[1:]) if ids is None)
-                out.append(None)
-            else:
-                out.append(b"".join(found))
-        if again:
-            self._learn(firsts, {cut[at][0] for at in again}, "")
-            if len(memo) + len(wanted) > MEMO_ENTRIES:  # all starts afresh
-                wanted = {part for at in again for part in cut[at][1:]}
-            self._learn(memo, wanted, " ")
-            for at in again:
-                first, *rest = cut[at]
-                out[at] = firsts[first] + b"".join(map(memo.__getitem__, rest))
-        whole = [at for at, parts in enumerate(cut) if parts is None]
-        for at, ids in zip(whole, self._pack([texts[at] for at in whole])):
-            out[at] = ids
-        return out
+        ids = self.encode_array(pa.array(texts, pa.string()))
+        offsets, flat = np.asarray(ids.offsets), np.asarray(ids.values)
+        return [flat[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
 
 
 _loaded: dict[str, Encoder] = {}
@@ -136,33 +192,45 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
-def _encode(path: str, end_id: int):
-    end = array("I", [end_id]).tobytes()
+def _slices(sizes: np.ndarray) -> Iterator[slice]:
+    """Neighbours of so many bytes together, or one that has more."""
+    ends, begin = np.cumsum(sizes), 0
+    while begin < len(sizes):
+        before = ends[begin] - sizes[begin]
+        end = max(begin + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield slice(begin, end)
+        begin = end
+
+
+def _strings(texts: pa.BinaryArray) -> pa.StringArray:
+    """Texts of bytes; what is not UTF-8 is replaced, a missing text is empty."""
+    try:
+        return pc.fill_null(texts.cast(pa.string()), "")
+    except pa.ArrowInvalid:
+        return pa.array([(t.as_py() or b"").decode("utf-8", "replace") for t in texts], pa.string())
 
+
+def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = encoder(path)
         before = 0
         for whole in batches:
-            for begin in range(0, whole.num_rows, SLICE_ROWS):
-                batch = whole.slice(begin, SLICE_ROWS)
-                texts = [
-                    (text.as_py() or b"").decode("utf-8", "replace")
-                    for text in batch.column("_text")
-                ]
-                packed = [one + end for one in library.encode(texts)]
-                sizes = np.fromiter((len(one) // 4 for one in packed), np.int64, len(packed))
-                ends = np.cumsum(sizes)
-                flat = np.frombuffer(b"".join(packed), np.int32)
-                offsets = np.r_[0, ends].astype(np.int32)
+            lengths = pc.fill_null(pc.binary_length(whole.column("_text")), 0)
+            for part in _slices(np.asarray(lengths).astype(np.int64)):
+                batch = whole.slice(part.start, part.stop - part.start)
+                ids = library.encode_array(_strings(batch.column("_text")))
+                ends = np.asarray(ids.offsets).astype(np.int64)
+                flat = np.insert(np.asarray(ids.values), ends[1:], end_id)
+                offsets = ends + np.arange(len(ends))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("_id"),
-                        pa.array(before + ends - sizes),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                        pa.array(before + offsets[:-1]),
+                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
                     ],
                     names=["doc_id", "place", "ids"],
                 )
-                before += int(ends[-1])
+                before += int(offsets[-1])
 
     return run
 
