@@ -3,9 +3,9 @@
 Documents are range partitioned by id and sorted, encoded where they land and
 written at once, one file per partition: ids are a list of integers, which ORC
 stores in run-length encoded stripes; the stripes have row indexes, and Bloom
-filters on the document id.  Each row also bears its place within its file, so
-the place within the whole corpus needs the files' totals alone, and stripes
-can be read in parallel and in any order.  A filter on ids skips files and
+filters on the document id.  Each row also bears its length and its place
+within its file, so the place within the whole corpus needs the files' totals
+alone, and stripes can be read in parallel and in any order.  A filter on ids skips files and
 stripes by their statistics, row groups by the index and the Bloom filter.
 """
 
@@ -118,8 +118,8 @@ class Encoder:
                 new.append(i)
             else:
                 found[i] = young[words[i]] = ids
-        plain = [i for i in new if len(words[i].split()) == 1 and words[i][0] != "\n"]
-        rest = sorted(set(new).difference(plain))
+        plain = [i for i in new if words[i][:1] > " "]
+        rest = [i for i in new if words[i][:1] <= " "]
         for places in (plain, rest):
             for i, ids in zip(places, self._pack_words([words[i] for i in places])):
                 found[i] = young[words[i]] = ids
@@ -144,7 +144,7 @@ class Encoder:
         for i, ids in zip(at, self._known([distinct[i] for i in at])):
             found[i] = ids
         found += self._pack([distinct[i] for i in firsts])
-        sizes = np.fromiter((len(ids) // 4 for ids in found), np.int64, len(found))
+        sizes = np.array(list(map(len, found)), np.int64) // 4
         ids = pa.ListArray.from_arrays(
             pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()),
             pa.array(np.frombuffer(b"".join(found), np.int32)),
@@ -226,9 +226,10 @@ def _encode(path: str, end_id: int):
                     [
                         batch.column("_id"),
                         pa.array(before + offsets[:-1]),
+                        pa.array(np.diff(offsets)),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
                     ],
-                    names=["doc_id", "place", "ids"],
+                    names=["doc_id", "place", "n", "ids"],
                 )
                 before += int(offsets[-1])
 
@@ -255,7 +256,7 @@ def write(
     rows = keyed(docs, id_col, text_col).withColumn("_id", F.col("_id").cast("long"))
     ordered = rows.repartitionByRange("_id", "_row").sortWithinPartitions("_id", "_row")
     ids = ordered.select("_id", "_text").mapInArrow(
-        _encode(tokenizer_path, end_id), "doc_id long, place long, ids array<int>"
+        _encode(tokenizer_path, end_id), "doc_id long, place long, n long, ids array<int>"
     )
     ids.write.options(**ORC_OPTIONS).orc(path)
     return path
@@ -263,10 +264,11 @@ def write(
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, ids``: ``start`` counts the ids of all documents before."""
-    rows = spark.read.schema("doc_id long, place long, ids array<int>").orc(path)
+    rows = spark.read.schema("doc_id long, place long, n long, ids array<int>").orc(path)
     number = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
-    rows = rows.select("doc_id", "place", "ids", number.alias("_file"))
-    totals = rows.groupBy("_file").agg(F.max(F.col("place") + F.size("ids")).alias("n"))
+    rows = rows.select("doc_id", "place", "n", "ids", number.alias("_file"))
+    # Reads two columns of numbers, not the ids.
+    totals = rows.groupBy("_file").agg(F.max(F.col("place") + F.col("n")).alias("n"))
     # One row per file.
     order = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select("_file", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("_before"))
