@@ -127,7 +127,7 @@ def test_chains_lead_to_the_last_form(spark):
 
 
 def test_odd_rows(spark):
-    long = "x" * 3000 + "y" * 3000
+    long = "x" * 300 + "y" * 300
     rows = [*cases.DOCUMENTS, (None, "Wandering wandering Ärgernis ärgernis ärgernis", None, None),
             (20, f"{long} {long} {long}z {long}z {long[:-1]} {long[:-1]}", "en", "a"),
             (21, "İstanbullu İstanbullu İı naïveté× naïveté× naïveté÷ naïveté÷ abcdef abcdef", "en", "a")]
