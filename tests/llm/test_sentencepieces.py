@@ -51,3 +51,30 @@ def test_decoding_rows(spark):
     ids = sentencepieces.encode(docs, vocabulary(PIECES))
     back = sentencepieces.decode(ids.select("doc_id", "ids"), vocabulary(PIECES))
     assert {r.doc_id: r.text for r in back.collect()} == {1: "a b\nc", 2: ""}
+
+
+def test_odd_ids(spark, library):
+    random.seed(5)
+    model = sentencepieces.Transducer(vocabulary(PIECES))
+    unknown = library.decode([0])
+    hello = library.encode("hello there")
+    for _ in range(2000):
+        kinds = [0, 1, 2, 35, random.randrange(259, 32000), random.randrange(40, 120)]
+        ids = random.choices(kinds, k=random.randint(0, 8))
+        assert model.decode(ids) == library.decode(ids), ids
+    for odd in (-1, None, 10**6):
+        assert model.decode([odd, *hello]) == unknown + " hello there"
+    rows = spark.createDataFrame([(1, [None, -1]), (2, None), (3, [])], "doc_id long, ids array<int>")
+    back = sentencepieces.decode(rows, vocabulary(PIECES))
+    assert {r.doc_id: r.text for r in back.collect()} == {1: 2 * unknown, 2: None, 3: ""}
+
+
+def test_words_that_begin_alike_and_long_ones(library):
+    random.seed(6)
+    parts = ["th", "er", "tion", "é", "日", "ing", "x", "#", "."]
+    words = ["".join(random.choices(parts, k=random.randint(1, 9))) for _ in range(3000)]
+    words += [w[:cut] for w in words[:500] for cut in (1, 3)] + ["ab" * 300, "x" * 64, "x" * 63]
+    texts = [" ".join(random.choices(words, k=20)) + random.choice(["", "\n", "\nthe"]) for _ in range(400)]
+    model = sentencepieces.Transducer(vocabulary(PIECES))
+    got = model.encode_all(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == library.encode(texts)
