@@ -15,8 +15,8 @@ bigrams with their training counts go to buckets by history, buckets sum them
 and answer each block with the totals alone, in the order in which it asked.
 Histories that make up a thousandth of a sample or more are dealt out by the
 word that follows too; their sums, at most a thousand rows, are put together
-afterwards.  Words are known by 64-bit hashes, followers of one history by 40
-bits.
+afterwards.  Words are known by 64-bit hashes, followers of one history by 48
+bits.  Counts travel in as few bytes as the largest of a list needs.
 """
 
 from __future__ import annotations
@@ -33,8 +33,10 @@ from tidemark.llm.frames import keyed
 from tidemark.llm.words import hashes, mix
 from tidemark.session import stage
 
-#: Bytes of text after which a block is closed, and that a bucket should get.
-BLOCK_BYTES = 6 << 20
+#: Bytes of text after which a block is closed, and of packed text that a bucket
+#: should get.
+BLOCK_BYTES = 3 << 20
+BUCKET_BYTES = 2 << 20
 #: Added to each count at the root.
 ADD = 0.1
 #: About how many rows are looked at to find frequent histories, and how frequent
@@ -45,7 +47,9 @@ HEAVY_SHARE = 1 / 1000
 
 START = np.uint64(0x5354415254)
 END = np.uint64(0x454E44)
-_SHORT = np.uint64((1 << 40) - 1)
+#: Bytes by which a history's followers are told apart.
+_WIDTH = 6
+_SHORT = np.uint64((1 << 8 * _WIDTH) - 1)
 
 _ASKED = (
     "bucket int, block long, hist binary, sizes binary, words binary, counts binary"
@@ -55,6 +59,17 @@ _TOTALS = (
 )
 
 
+def narrow(counts: np.ndarray) -> bytes:
+    """Counts in the fewest bytes that hold the largest, after that number of bytes."""
+    most = int(counts.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def widen(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int64)
+
+
 class Tokens:
     """Tokens of a block's texts, and its bigrams in the order of the buckets."""
 
@@ -69,17 +84,25 @@ class Tokens:
             hist.append(np.concatenate([[START], found]).astype(np.uint64))
             sizes.append(len(found) + 1)
         self.sizes = np.asarray(sizes, np.int64)
+        #: The place of each token's word among the histories; ends stand for starts.
+        after = np.concatenate([np.append(h[1:], START) for h in hist])
         words = np.concatenate(words)
         self.train = np.repeat(~self.held, self.sizes)
         self.ends = words == END
-        self.hist, self.at = np.unique(np.concatenate(hist), return_inverse=True)
+        hist = np.concatenate(hist)
+        self.hist, self.at = np.unique(hist, return_inverse=True)
+        del hist
+        self.word_at = np.searchsorted(self.hist, after)
+        del after
         short = mix(words) & _SHORT
         order = np.lexsort((short, self.at))
         at, word = self.at[order], short[order]
+        del words, short
         fresh = np.r_[True, (at[1:] != at[:-1]) | (word[1:] != word[:-1])]
         number = np.cumsum(fresh) - 1
         pair = np.empty(len(order), np.int64)
         pair[order] = number
+        del number, order
         self.pair_hist, self.pair_word = at[fresh], word[fresh]
         counts = np.bincount(pair, self.train, minlength=len(self.pair_hist)).astype(np.uint32)
         bucket = bucket_of(self.hist[self.pair_hist], self.pair_word, buckets, heavy)
@@ -96,9 +119,6 @@ class Tokens:
             True,
             (self.bucket[1:] != self.bucket[:-1]) | (self.pair_hist[1:] != self.pair_hist[:-1]),
         ]
-        #: The place of each token's word among the histories; ends stand for starts.
-        after = np.concatenate([np.append(h[1:], START) for h in hist])
-        self.word_at = np.searchsorted(self.hist, after)
 
 
 def bucket_of(hist: np.ndarray, word: np.ndarray, buckets: int, heavy: np.ndarray) -> np.ndarray:
@@ -169,8 +189,8 @@ def _ask(buckets: int, heavy: np.ndarray):
                     out["hist"].append(tokens.hist[tokens.pair_hist[a + starts]].astype("<u8").tobytes())
                     out["sizes"].append(np.diff(np.r_[starts, b - a]).astype("<u4").tobytes())
                     short = tokens.pair_word[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)
-                    out["words"].append(np.ascontiguousarray(short[:, :5]).tobytes())
-                    out["counts"].append(tokens.counts[a:b].astype("<u4").tobytes())
+                    out["words"].append(np.ascontiguousarray(short[:, :_WIDTH]).tobytes())
+                    out["counts"].append(narrow(tokens.counts[a:b]))
                 yield pa.RecordBatch.from_pydict(
                     out,
                     schema=pa.schema(
@@ -196,20 +216,23 @@ def _totals(heavy: np.ndarray):
         for row in range(rows.num_rows):
             hist.append(np.frombuffer(rows["hist"][row].as_py(), "<u8"))
             sizes.append(np.frombuffer(rows["sizes"][row].as_py(), "<u4"))
-            short = np.frombuffer(rows["words"][row].as_py(), np.uint8).reshape(-1, 5)
+            short = np.frombuffer(rows["words"][row].as_py(), np.uint8).reshape(-1, _WIDTH)
             word = np.zeros((len(short), 8), np.uint8)
-            word[:, :5] = short
+            word[:, :_WIDTH] = short
             words.append(word.view("<u8").ravel())
-            counts.append(np.frombuffer(rows["counts"][row].as_py(), "<u4"))
+            counts.append(widen(rows["counts"][row].as_py()))
             ends.append([len(hist[-1]), len(words[-1])])
         codes, of_row = np.unique(np.concatenate(hist), return_inverse=True)
         at = np.repeat(of_row, np.concatenate(sizes))
         word = np.concatenate(words)
+        del hist, sizes, words
         order = np.lexsort((word, at))
         a, w = at[order], word[order]
+        del at, word
         fresh = np.r_[True, (a[1:] != a[:-1]) | (w[1:] != w[:-1])]
         pair = np.empty(len(order), np.int64)
         pair[order] = np.cumsum(fresh) - 1
+        del order, w
         total = np.bincount(pair, np.concatenate(counts)).astype(np.int64)
         owner = a[fresh]
         stats = np.stack(
@@ -228,8 +251,8 @@ def _totals(heavy: np.ndarray):
             out["bucket"].append(bucket)
             out["block"].append(rows["block"][row].as_py())
             out["kind"].append(0)
-            out["stats"].append(stats[of_row[h0:h1]].tobytes())
-            out["totals"].append(total[pair[p0:p1]].astype("<i8").tobytes())
+            out["stats"].append(narrow(stats[of_row[h0:h1]]))
+            out["totals"].append(narrow(total[pair[p0:p1]]))
         many = np.isin(codes, heavy)
         own = np.concatenate(
             [
@@ -285,8 +308,8 @@ def _score(buckets: int, model: Model):
     def solve(payload: bytes, answers: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
         tokens = Tokens(payload, buckets, model.heavy)
         answers.sort()
-        stats = np.concatenate([np.frombuffer(a[1], "<i8") for a in answers]).reshape(-1, 4)
-        totals = np.concatenate([np.frombuffer(a[2], "<i8") for a in answers])
+        stats = np.concatenate([widen(a[1]) for a in answers]).reshape(-1, 4)
+        totals = np.concatenate([widen(a[2]) for a in answers])
         state = np.zeros((len(tokens.hist), 4), np.int64)
         state[tokens.pair_hist[tokens.first]] = stats
         if len(model.heavy):
@@ -331,7 +354,7 @@ def _score(buckets: int, model: Model):
                         tuple(batch.column(n)[row].as_py() for n in ("bucket", "stats", "totals"))
                     )
                 else:
-                    yield solve(payload, list(answers))
+                    yield solve(payload, answers)
 
     return run
 
@@ -362,7 +385,7 @@ def score(
     )
     packs = stage(rows.mapInArrow(_packs(), "block long, payload binary"), "packs")
     held_bytes = packs.agg(F.sum(F.octet_length("payload"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), held_bytes // (BLOCK_BYTES // 2) + 1)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), held_bytes // BUCKET_BYTES + 1)
     heavy = frequent_histories(rows)
     asked = packs.mapInArrow(_ask(buckets, heavy), _ASKED)
     totals = stage(
