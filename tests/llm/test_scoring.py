@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tidemark.llm import scoring
@@ -58,3 +59,11 @@ def test_the_model_beats_the_root_on_texts_left_out(spark):
     got = scoring.score(table(spark, "/root/testdata/sf0.01", "documents")).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
     assert sum(r.score > r.base_score for r in got) > 0.8 * len(got)
+
+
+def test_counts_travel_in_few_bytes():
+    for most, width in ((0, 1), (255, 1), (256, 2), (65536, 4), (2**40, 8)):
+        counts = np.array([0, 1, most], np.int64)
+        packed = scoring.narrow(counts)
+        assert len(packed) == 1 + 3 * width and scoring.widen(packed).tolist() == counts.tolist()
+    assert scoring.widen(scoring.narrow(np.zeros(0, np.int64))).tolist() == []
