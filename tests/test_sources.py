@@ -6,8 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.catalog import exchange
 from tidemark.operators import coverage
-from tidemark.sources import dimension, files
+from tidemark.sources import dimension, extracts, files
 
 
 def config(**changes):
@@ -98,3 +99,24 @@ def test_files_of_all_sizes_have_one_digest(spark, folder, monkeypatch):
     monkeypatch.setattr(files, "WHOLE_FILE_BYTES", 10)
     with pytest.raises(Exception, match="too large for one task"):
         files.file_sha256(spark, folder).collect()
+
+
+def test_a_landing_that_is_listed_already_is_not_listed_again(spark, folder):
+    put(folder, "one.csv", "id_1|id_2|vaccine_group_name|vaccination_date\n1|S|Flu|2024-01-05\n")
+    text = spark.read.text([folder])
+    nowhere = [f"{folder}/nowhere"]
+    assert files.count_files(spark, nowhere, text) == 1
+    landing = extracts.read_landing(spark, nowhere, extracts.REGISTRY, text)
+    assert [r["id_1"] for r in landing.records.collect()] == ["1"]
+
+
+def test_files_of_a_jobs_landing_hold_half_a_million_events(spark):
+    """Events 40,000 apart: by the small parts of the extract queries each would have a file."""
+    rows = spark.range(10).select(
+        F.lit("1").alias("id_1"), F.lit("S001").alias("id_2"), F.lit("Flu").alias("vaccine_group"),
+        F.lit("2024-01-05").cast("date").alias("vaccination_date"), (F.col("id") * 40_000).alias("event_id"),
+    )
+    path = exchange._land(spark, "", rows)
+    assert files.count_files(spark, [f"{path}/*/*/part-*"]) == 1
+    landing = extracts.read_landing(spark, [f"{path}/*/*/part-*"], extracts.REGISTRY)
+    assert landing.records.count() == 10

@@ -8,7 +8,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.catalog import views
-from tidemark.catalog.files import FILE_RECORDS, _glob, _write_extracts
+from tidemark.catalog.files import _glob, _write_extracts
 from tidemark.catalog.views import DIGEST_SQL, KEYS, RECORDS_SQL
 from tidemark.functions.digest import fingerprint
 from tidemark.operators import records
@@ -23,8 +23,13 @@ from tidemark.streaming.first_seen import first_seen_stream
 from tidemark.streaming.landing import stream_landing
 
 
+# Events of all sources that one part of a job's landing covers: files of a few
+# megabytes, as each file costs an entry in listings, a folder and a commit.
+PART_RECORDS = 500_000
+
+
 def _land(spark, sf_dir, rows):
-    return _write_extracts(spark, sf_dir, rows)
+    return _write_extracts(spark, sf_dir, rows, part_records=PART_RECORDS)
 
 
 def _two_runs(spark, sf_dir):
@@ -182,7 +187,7 @@ def stream_incremental_diff(spark, sf_dir):
     checkpoint = scratch_path(spark, "stream")
     landing = scratch_path(spark, "landing")
     rows = views.records(spark, sf_dir)
-    part = F.floor(F.col("event_id") / F.lit(FILE_RECORDS))
+    part = F.floor(F.col("event_id") / F.lit(PART_RECORDS))
     halves = [views.before(rows, views.KNOWN_UNTIL), views.since(rows, views.CURRENT_FROM)]
     for number, half in enumerate(halves):
         (

@@ -97,7 +97,7 @@ def arity_reject(spark, sf_dir):
 # --- landings ----------------------------------------------------------------
 
 
-def _write_extracts(spark, sf_dir, rows, date=None):
+def _write_extracts(spark, sf_dir, rows, date=None, part_records=FILE_RECORDS):
     """Registry extracts: one file per source and part, two column orders."""
     path = scratch_path(spark, "extracts")
     rows = rows.select(
@@ -109,7 +109,7 @@ def _write_extracts(spark, sf_dir, rows, date=None):
             "vaccination_date"
         ),
         F.substring("id_2", 2, 3).cast("int").alias("source"),
-        F.floor(F.col("event_id") / F.lit(FILE_RECORDS)).alias("part"),
+        F.floor(F.col("event_id") / F.lit(part_records)).alias("part"),
         "event_id",
     )
     orders = [

@@ -102,8 +102,9 @@ def _closing(status, step, error):
 def _landing(store: Store, paths: list[str], fmt: Format):
     """The landing, and how many files lie in it, empty ones too; none if there is no file."""
     try:
-        listed = files.count_files(store.spark, paths)
-        return extracts.read_landing(store.spark, paths, fmt), listed
+        text = store.spark.read.text(paths)  # listed once
+        listed = files.count_files(store.spark, paths, text)
+        return extracts.read_landing(store.spark, paths, fmt, text), listed
     except AnalysisException as error:
         if not is_missing(error):
             raise

@@ -385,14 +385,17 @@ def _rows(
     return lines.join(names, "file", "left_anti").unionByName(whole)
 
 
-def read_landing(spark: SparkSession, paths: list[str], fmt: Format) -> Landing:
+def read_landing(
+    spark: SparkSession, paths: list[str], fmt: Format, text: DataFrame | None = None
+) -> Landing:
     """All files below ``paths``: accepted rows, rejected files, and an audit.
 
     The driver holds one row per file, as its own file listing already does;
-    rows of files never pass through it.
+    rows of files never pass through it.  ``text`` is a reader of the paths that
+    has them listed already.
     """
     # One listing of the files serves both scans.
-    text = spark.read.text(paths)
+    text = spark.read.text(paths) if text is None else text
     audited = stage(audit(text, fmt), "audit")
     layouts: dict[tuple[int, ...], int] = defaultdict(int)
     spanning: list[str] = []

@@ -38,9 +38,12 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def count_files(spark: SparkSession, paths: list[str]) -> int:
-    """How many files lie there, those without a byte too, which no scan gives."""
-    return len(spark.read.text(paths).inputFiles())
+def count_files(spark: SparkSession, paths: list[str], text: DataFrame | None = None) -> int:
+    """How many files lie there, those without a byte too, which no scan gives.
+
+    ``text`` is a reader of the paths that has them listed already.
+    """
+    return len((spark.read.text(paths) if text is None else text).inputFiles())
 
 
 def folder_names(spark: SparkSession, path: str) -> DataFrame:
