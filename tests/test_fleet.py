@@ -6,7 +6,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.catalog import districts
+from tidemark.functions.digest import digest_sum, record_line
 from tidemark.operators import sources
+from tidemark.plans import fleet as fleet_plan
 from tidemark.plans.fleet import Fleet, district_of, run_fleet, versions
 from tidemark.session import scratch_path
 from tidemark.sources.extracts import REGISTRY
@@ -140,3 +143,21 @@ def test_parts_of_an_extract_are_taken_together(spark):
 
 def test_districts_are_told_from_run_ids(spark):
     assert spark.range(1).select(district_of(F.lit("run@S 1"))).first()[0] == "S 1"
+
+
+def test_a_content_name_adds_up_from_its_districts(spark):
+    """The name of all records, a null district's too, from one row per district."""
+    rows = [("D0", "1"), ("D0", "2"), ("D1", "1"), (None, "3")]
+    new = spark.createDataFrame(rows, "district_id string, id_1 string").withColumns(
+        {"id_2": F.lit("S"), "vaccine_group": F.lit("Flu"), "vaccination_date": F.lit("2024-01-05").cast("date")}
+    )
+    line = F.concat_ws("\n", "district_id", record_line())
+    whole = new.agg(digest_sum(line).cast("string").alias("d")).first()["d"]
+    added = fleet_plan._added(new)
+    assert fleet_plan._content_name(added) == (f"4-{whole}", 4)
+    assert fleet_plan._content_name(added.limit(0)) == ("0-0", 0)
+
+
+def test_records_of_all_landings_are_joined_once(spark):
+    rows = districts._records(spark, "/root/testdata/sf0.001")
+    assert all("/records-" in name for name in rows.inputFiles())

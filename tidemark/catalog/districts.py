@@ -35,14 +35,15 @@ def _school(user):
 
 
 def _records(spark, sf_dir):
+    """Records with their school; staged, as every landing and the dimension read them."""
     users = views.table(spark, sf_dir, "events").select("event_id", "user_id")
     rows = views.records(spark, sf_dir).join(users, "event_id")
-    return rows.withColumn("school_id", _school(F.col("user_id")))
+    return stage(rows.withColumn("school_id", _school(F.col("user_id"))).drop("user_id"), "records")
 
 
-def _dimension(spark, sf_dir):
-    """Configuration documents, results listings and roster digests, made from the events."""
-    schools = stage(_records(spark, sf_dir).select("id_2", "school_id").distinct(), "schools")
+def _dimension(spark, rows):
+    """Configuration documents, results listings and roster digests, made from the records."""
+    schools = stage(rows.select("id_2", "school_id").distinct(), "schools")
     school = F.struct(
         F.concat(F.lit("School "), "school_id").alias("name"),
         F.col("school_id").alias("id"),
@@ -64,7 +65,7 @@ def _dimension(spark, sf_dir):
     listings = schools.select(F.col("id_2").alias("district_id"), "school_id", body.alias("body"))
     path = scratch_path(spark, "rosters")
     (
-        _records(spark, sf_dir).where(F.col("school_id") != NO_ROSTER)
+        rows.where(F.col("school_id") != NO_ROSTER)
         .select("school_id", F.col("id_1").alias("value")).distinct()
         .repartition("school_id").sortWithinPartitions("school_id", "value")
         .write.partitionBy("school_id").text(path)
@@ -81,11 +82,9 @@ def _land(spark, rows, spoilt):
     path = scratch_path(spark, "landing")
     bad = (F.col("school_id") == SPOILT) & (F.col("event_id") % 3 == 0) & F.lit(spoilt)
     day = F.when(bad, F.lit("someday")).otherwise(F.col("vaccination_date").cast("string"))
-    named = rows.where(F.col("school_id") != NOT_LANDED).withColumn("file", F.col("school_id"))
-    stray = rows.where(F.col("school_id") == NOT_LANDED).withColumn("file", F.lit("stray"))
+    file = F.when(F.col("school_id") == NOT_LANDED, F.lit("stray")).otherwise(F.col("school_id"))
     (
-        named.unionByName(stray)
-        .withColumn("file_name", F.concat("file", F.lit(".csv")))
+        rows.withColumn("file_name", F.concat(file, F.lit(".csv")))
         .select("file_name", "id_1", "id_2", F.col("vaccine_group").alias("vaccine_group_name"),
                 day.alias("vaccination_date"))
         .repartition("file_name")
@@ -96,8 +95,8 @@ def _land(spark, rows, spoilt):
 
 def _two_landings(spark, sf_dir):
     fleet = Fleet(spark, scratch_path(spark, "fleet"))
-    config, listings, rosters = _dimension(spark, sf_dir)
     rows = _records(spark, sf_dir)
+    config, listings, rosters = _dimension(spark, rows)
     until = F.when(F.col("id_2").isin(*LITTLE), F.lit(LITTLE_UNTIL)).otherwise(F.lit(views.KNOWN_UNTIL))
     known = rows.where((F.col("ts") < until.cast("timestamp_ntz")) & (F.col("id_2") != NOTHING))
     first = _land(spark, known, False)
@@ -136,7 +135,7 @@ def fleet_sources(spark, sf_dir):
 def readiness_run(spark, sf_dir):
     """Readiness as a run: its events, and the counts in the last one."""
     store = Store(spark, scratch_path(spark, "store"))
-    config, listings, _ = _dimension(spark, sf_dir)
+    config, listings, _ = _dimension(spark, _records(spark, sf_dir))
     jobs.run_readiness(store, config, listings)
     data = F.col("data")
     return store.events().select(

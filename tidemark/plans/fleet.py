@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.digest import digest_sum, fingerprint, record_line
+from tidemark.functions.digest import digest_sum, record_line
 from tidemark.functions.events import payload
 from tidemark.functions.names import diff_name, new_run_id
 from tidemark.operators import coverage, gate, numbering, records, runs, sources
@@ -141,12 +141,23 @@ def _new(fleet: Fleet, batch: DataFrame, commits: DataFrame) -> DataFrame:
     return records.diff(batch, known, key)
 
 
-def _metrics(found: DataFrame, batch: DataFrame, new: DataFrame, known: DataFrame) -> DataFrame:
+def _added(new: DataFrame) -> DataFrame:
+    """``district_id, new_count, new_digest, named_digest``: what is new, digested once.
+
+    The last is the digest of records with their district; see :func:`_content_name`.
+    """
+    line = F.concat_ws("\n", DISTRICT, record_line())
+    return new.groupBy(DISTRICT).agg(
+        F.count(F.lit(1)).alias("new_count"),
+        digest_sum(record_line()).alias("new_digest"),
+        digest_sum(line).alias("named_digest"),
+    )
+
+
+def _metrics(found: DataFrame, batch: DataFrame, added: DataFrame, known: DataFrame) -> DataFrame:
     """One row per district: what its decision depends on."""
     total = batch.groupBy(DISTRICT).agg(F.count(F.lit(1)).alias("total_count"))
-    added = fingerprint(new, [DISTRICT]).withColumnsRenamed(
-        {"records": "new_count", "fingerprint": "new_digest"}
-    )
+    added = added.select(DISTRICT, "new_count", "new_digest")
     joined = sources.counts(found)
     for part in (total, added, known):
         joined = joined.join(part, DISTRICT, "left")
@@ -288,15 +299,17 @@ def run_fleet(
     known = stage(versions(commits), "versions")
     batch = stage(_batch(landing, found), "batch")
     new = stage(_new(fleet, batch, commits), "new")
-    decided = _decided(fleet, _metrics(found, batch, new, known), run_id, as_of, fraction)
+    added = stage(_added(new), "added")
+    decided = _decided(fleet, _metrics(found, batch, added, known), run_id, as_of, fraction)
     decided = stage(decided, "decided")
-    passing = new.join(decided.where("passes").select(DISTRICT), DISTRICT, "left_semi")
-    segment, count = _content_name(passing)
+    passes = decided.where("passes").select(DISTRICT)
+    passing = new.join(passes, DISTRICT, "left_semi")
+    segment, count = _content_name(added.join(passes, DISTRICT, "left_semi"))
     told = sources.events(found).unionByName(_run_events(decided, segment, trigger))
     told = told.withColumn("run_id", F.concat(F.lit(run_id + _AT), DISTRICT))
     events = stage(numbering.sequence(told, ["run_id"], ["rank", "school_id"]), "events")
     _append(fleet, events.where(F.col("rank") <= _COMPUTED))
-    _archive(fleet, new, as_of)
+    _archive(fleet, new, added, as_of)
     step = ACTION_DELIVER
     try:
         if count:
@@ -317,10 +330,16 @@ def run_fleet(
     )
 
 
-def _content_name(rows: DataFrame) -> tuple[str, int]:
-    """A name for records of many districts, which are part of it, and how many they are."""
-    line = F.concat_ws("\n", DISTRICT, record_line())
-    row = rows.agg(F.count(F.lit(1)).alias("n"), digest_sum(line).cast("string").alias("digest")).first()
+def _content_name(added: DataFrame) -> tuple[str, int]:
+    """A name for records of many districts, which are part of it, and how many they are.
+
+    Digests are sums, so those of the districts add up to that of all records.
+    """
+    none = F.lit(0).cast("decimal(38,0)")
+    row = added.agg(
+        F.coalesce(F.sum("new_count"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum("named_digest"), none).cast("string").alias("digest"),
+    ).first()
     return f"{row['n']}-{row['digest']}", row["n"]
 
 
@@ -328,10 +347,10 @@ def _unchanged(now: DataFrame, before: DataFrame) -> bool:
     return now.exceptAll(before).isEmpty()
 
 
-def _archive(fleet: Fleet, new: DataFrame, as_of: dt.date) -> None:
+def _archive(fleet: Fleet, new: DataFrame, added: DataFrame, as_of: dt.date) -> None:
     """A copy of all that is new, kept even of districts the gate stops.  Best effort."""
     try:
-        name, count = _content_name(new)
+        name, count = _content_name(added)
         if count:
             path = f"{fleet.archive_path}/date={as_of.isoformat()}/fp={name}"
             new.write.mode("ignore").partitionBy(DISTRICT).parquet(path)
