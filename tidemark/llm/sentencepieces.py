@@ -26,6 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.frames import keyed
+from tidemark.llm.workers import kept, tidy
 
 SPACE = "▁"
 #: Entries that a worker keeps before it starts afresh; results don't depend on it.
@@ -275,14 +276,16 @@ class Transducer:
         return raw.decode("utf-8", "replace")
 
 
-_loaded: dict[str, Transducer] = {}
+#: Whose a worker's models and memos are.
+_OWNER = "sentencepieces"
 
 
 def transducer(path: str) -> Transducer:
-    """The compiled model, once per worker."""
-    if path not in _loaded:
-        _loaded[path] = Transducer(path)
-    return _loaded[path]
+    """The compiled model, once per worker until another operator uses that."""
+    loaded = kept(_OWNER)
+    if path not in loaded:
+        loaded[path] = Transducer(path)
+    return loaded[path]
 
 
 def _encode(path: str):
@@ -335,7 +338,7 @@ def encode(
     """
     rows = keyed(docs, id_col, text_col).select(F.col("_id").cast("long").alias("_id"), "_text")
     found = rows.mapInArrow(
-        _encode(model_path),
+        tidy(_OWNER, _encode(model_path)),
         "_id long, ids array<int>, n_tokens long, ids_crc32 long, decodes_back boolean",
     )
     return found.withColumnRenamed("_id", id_col)
@@ -363,4 +366,4 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids", text_col: str
                 names=[*names, text_col],
             )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(_OWNER, run), schema)

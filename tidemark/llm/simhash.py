@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.frames import keyed, without
+from tidemark.llm.workers import tidy
 from tidemark.session import stage
 
+_OWNER = "simhash"
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
@@ -319,12 +321,12 @@ def links(prints: DataFrame, bits: int = MAX_BITS, bucket_nodes: int = BUCKET_NO
         raise ValueError("the keys reach all pairs up to three bits apart, not beyond")
 
     def buckets(rows: DataFrame, split: bool) -> DataFrame:
-        keyed_rows = rows.mapInArrow(_expand(split), "key long, node long, fp long")
+        keyed_rows = rows.mapInArrow(tidy(_OWNER, _expand(split)), "key long, node long, fp long")
         return keyed_rows.repartition("key").sortWithinPartitions("key", "fp")
 
     found = stage(
         buckets(prints.select("node", "fp"), False).mapInArrow(
-            _links(bits, bucket_nodes), "key long, a long, b long"
+            tidy(_OWNER, _links(bits, bucket_nodes)), "key long, a long, b long"
         ),
         "links",
     )
@@ -332,7 +334,9 @@ def links(prints: DataFrame, bits: int = MAX_BITS, bucket_nodes: int = BUCKET_NO
     large = found.where("key is not null")
     if large.take(1):
         again = large.select("key", F.col("a").alias("node"), F.col("b").alias("fp"))
-        more = buckets(again, True).mapInArrow(_links(bits, None), "key long, a long, b long")
+        more = buckets(again, True).mapInArrow(
+            tidy(_OWNER, _links(bits, None)), "key long, a long, b long"
+        )
         straight = straight.union(more.select("a", "b"))
     return straight
 
@@ -342,7 +346,7 @@ def fingerprints(
 ) -> DataFrame:
     """``_id, fp`` (signed 64 bits) of every row's whole text."""
     rows = keyed(docs, id_col, text_col).select(F.col("_id").cast("long").alias("_id"), "_text")
-    return rows.mapInArrow(_fingerprints(shingle), "_id long, fp long")
+    return rows.mapInArrow(tidy(_OWNER, _fingerprints(shingle)), "_id long, fp long")
 
 
 def near_duplicates(

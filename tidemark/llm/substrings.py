@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.frames import in_order_runs, join_rows, keyed, unused
 from tidemark.llm.words import hashes, runs_of, sliding_min, split
+from tidemark.llm.workers import tidy
 from tidemark.session import stage
 
 WIDTH = 50
@@ -32,6 +33,7 @@ SEED_WORDS = 8
 #: Different strings of one minimiser that a task sorts together (about 30 MB).
 BUCKET_STRINGS = 1 << 16
 
+_OWNER = "substrings"
 _KMERS = "mini long, _id long, _row long, start int, n int"
 #: Occurrences have no ``packed``; strings, one of each per batch, have no ``_row``.
 _PIECES = "mini long, sig long, _id long, _row long, start int, packed binary"
@@ -229,7 +231,7 @@ def window_hits(
     ``hits`` are ranges of windows, first and last in one number.  ``docs`` has
     ``_id``, ``_row`` and ``_text``; rows without such a window are absent.
     """
-    kmers = stage(docs.mapInArrow(_kmers(width, seed), _KMERS), "kmers")
+    kmers = stage(docs.mapInArrow(tidy(_OWNER, _kmers(width, seed)), _KMERS), "kmers")
     shared = (
         kmers.groupBy("mini")
         .agg(F.min("_id").alias("low"), F.max("_id").alias("high"))
@@ -245,7 +247,7 @@ def window_hits(
     pieces = stage(
         join_rows(docs, wanted, ["_id", "_row"], "inner")
         .select("_id", "_row", "_text", "minis", "spans")
-        .mapInArrow(_pieces(width), _PIECES),
+        .mapInArrow(tidy(_OWNER, _pieces(width)), _PIECES),
         "pieces",
     )
     sizes = pieces.where("packed is not null").groupBy("mini")
@@ -261,12 +263,12 @@ def window_hits(
         _folded(cold)
         .sortWithinPartitions("mini")
         .select("mini", "sig", "_id", "packed")
-        .mapInArrow(_bucket(width), _FIRSTS)
+        .mapInArrow(tidy(_OWNER, _bucket(width)), _FIRSTS)
     )
     if some_hot:
         many = join_rows(pieces.where("packed is not null"), hot, ["mini"], "left_semi")
         dealt = _folded(many).select("mini", "sig", "_id", "packed").mapInArrow(
-            _dealt(width), "mini long, sig long, _id long, at int, window binary"
+            tidy(_OWNER, _dealt(width)), "mini long, sig long, _id long, at int, window binary"
         )
         dealt = stage(dealt, "dealt")
         least = dealt.groupBy("window").agg(F.min("_id").alias("first"))
@@ -350,7 +352,7 @@ def remove_repeats(
     hits = window_hits(rows.where("_id is not null"), width, seed, bucket_strings)
     kept = join_rows(rows, hits, ["_id", "_row"], "left").select("_id", "_row", "_text", "hits")
     return (
-        kept.mapInArrow(_apply(width), _KEPT)
+        kept.mapInArrow(tidy(_OWNER, _apply(width)), _KEPT)
         .withColumnRenamed("_id", id_col)
         .drop("_row")
     )
@@ -394,4 +396,4 @@ def cut_repeats(
             columns[place] = pa.array(texts, columns[place].type)
             yield pa.RecordBatch.from_arrays(columns, names=list(names)).filter(pa.array(keep))
 
-    return marked.mapInArrow(run, docs.schema)
+    return marked.mapInArrow(tidy(_OWNER, run), docs.schema)
